@@ -1,0 +1,16 @@
+"""Last-writer-wins table kept up to date from a stream of operations."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from larkspur.operators.kvlog import kv_latest
+
+
+def kv_latest_stream(ops: DataFrame) -> DataFrame:
+    """Newest surviving value per key, by built-in stateful aggregation.
+
+    Write it in update or complete mode. An operation older than the newest seen changes nothing,
+    whenever it arrives; of equal timestamps the later arrival number wins.
+    """
+    return kv_latest(ops)
