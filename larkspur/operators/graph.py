@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from larkspur.session import cut_lineage
+from larkspur.session import cut_lineage, materialise
 
 
 def follower_count(edges: DataFrame) -> DataFrame:
@@ -131,8 +131,8 @@ def pagerank(
     ``dangling="post"``: receivers are updated first (others drop to nothing), then the new
     rank of the dangling vertices is spread evenly over all, undamped.
 
-    The edges are laid out once by source and kept; each round then shuffles only the ranks and
-    the partly summed contributions. A source of more than ``block`` edges is spread over several
+    The edges are written once, then laid out by source and kept; each round shuffles only the
+    ranks and the partly summed contributions. A source of more than ``block`` edges is spread over several
     partitions by target, its rank copied to each. The dangling share is a scalar subquery: no
     product of vertices. The ranks, a small part of the edges' volume, are checkpointed in every
     round: each is read twice in the next one, so its plan would double otherwise.
@@ -142,19 +142,20 @@ def pagerank(
     pairs = distinct_edges(edges)
     degrees = pairs.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
     copies = F.ceil(F.col("degree") / F.lit(block)).cast("int")
-    laid_out = (
-        pairs.join(degrees, "src")
-        .withColumn("copy", F.pmod(F.xxhash64("dst"), copies).cast("int"))
-        .repartition("src", "copy")
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    outgoing = materialise(
+        pairs.join(degrees, "src").withColumn(
+            "copy", F.pmod(F.xxhash64("dst"), copies).cast("int")
+        ),
+        "outgoing",
     )
-    vertices = (
-        vertex_set(laid_out)
-        .join(degrees.withColumnRenamed("src", "id"), "id", "left")
-        .select("id", F.coalesce(copies, F.lit(0)).alias("copies"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    laid_out = _kept(outgoing, "src", "copy")
+    ends = outgoing.select(F.col("src").alias("id"), copies.alias("copies")).unionByName(
+        outgoing.select(F.col("dst").alias("id"), F.lit(0).alias("copies"))
     )
-    size = vertices.agg(F.count(F.lit(1)).cast("double").alias("n"))
+    vertices = _kept(
+        materialise(ends.groupBy("id").agg(F.max("copies").alias("copies")), "vertices"), "id"
+    )
+    size = float(vertices.count())
     base = F.lit(1.0 - damping)
 
     ranks = vertices.withColumn("rank", F.lit(1.0))
@@ -164,13 +165,13 @@ def pagerank(
         )
         joined = vertices.join(contributions(laid_out, sent), "id", "left")
         if dangling == "spread":
-            share = _dangling_mass(ranks) / size.scalar()
+            share = _dangling_mass(ranks) / size
             rank = base + damping * (F.coalesce("received", F.lit(0.0)) + share)
             ranks = cut_lineage(joined.select("id", "copies", rank.alias("rank")))
         else:
             rank = F.coalesce(base + damping * F.col("received"), F.lit(0.0))
             updated = cut_lineage(joined.select("id", "copies", rank.alias("rank")))
-            share = _dangling_mass(updated) / size.scalar()
+            share = _dangling_mass(updated) / size
             ranks = updated.withColumn("rank", F.col("rank") + share)
     result = ranks.select("id", "rank")
     if dangling == "post":
@@ -180,6 +181,18 @@ def pagerank(
     return result
 
 
+def _kept(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` cached in the layout its joins on ``keys`` need: no exchange and no sort per round.
+
+    It is filled at once, since a join sees the layout of a filled cache only.
+    """
+    kept = (
+        df.repartition(*keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    kept.count()
+    return kept
+
+
 def _dangling_mass(ranks: DataFrame) -> Column:
     """Total rank of the vertices without out-edges, 0 when there are none; a scalar."""
     return (
