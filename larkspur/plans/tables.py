@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions.dates import epoch_millis
+from larkspur.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -187,7 +188,7 @@ def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         text = F.replace(text, F.lit(raw), F.lit(entity))
     tail = F.when(doc % 50 == 7, "</Te").otherwise("</Text></Revision></Page>")
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select(
         doc.alias("doc_id"), F.concat(F.lit("<Page><Revision><Text>"), text, tail).alias("value")
     )
 

@@ -80,3 +80,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of ``df`` in the shared folder."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Even out a scan that has fewer splits than the cluster has cores, ahead of heavy work per row.
+
+    A large input keeps its splits and is not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(2 * cores, key) if scan.rdd.getNumPartitions() < cores else scan
