@@ -24,10 +24,13 @@ MIN_COUNT = 3
 
 
 def word_arrays(text: DataFrame, column: str = "text") -> DataFrame:
-    """(words) per text, without texts that have none."""
-    return text.select(tokens(clean_text(F.col(column))).alias("words")).filter(
-        F.size("words") > 0
-    )
+    """(words) per text, without texts that have none.
+
+    The array is generated rather than filtered: a filter would be pushed below the projection
+    and tokenise every text a second time.
+    """
+    words = F.array(tokens(clean_text(F.col(column))))
+    return text.select(F.explode(F.filter(words, lambda w: F.size(w) > 0)).alias("words"))
 
 
 def ngram_count(
@@ -56,10 +59,11 @@ def ngram_count(
     gram = F.array_join(F.slice("words", F.col("start"), F.col("n")), " ")
     return (
         starts.select("words", "start", F.explode(lengths).alias("n"))
-        .select(gram.alias("gram"), "n")
-        .groupBy("gram", "n")
+        .select(gram.alias("gram"))
+        .groupBy("gram")
         .agg(F.count(F.lit(1)).alias("cnt"))
         .filter(F.col("cnt") >= min_count)
+        .select("gram", F.size(F.split("gram", " ")).alias("n"), "cnt")
     )
 
 

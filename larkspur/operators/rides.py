@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.scoring import match_score, surge_factor
 from larkspur.operators.skew import PIECE, SPLIT, carry_forward, with_pieces
+from larkspur.session import materialise
 
 TARGET_ROWS = 4096
 TS_SLOT = 1000
@@ -137,7 +138,11 @@ def available_drivers(states: DataFrame, location_wins: bool = False) -> DataFra
 
 
 def _pieces(trace: DataFrame, target_rows: int, slot_width: int) -> DataFrame:
-    return with_pieces(effective_events(trace), ["block_id"], "ts", target_rows, slot_width)
+    """Effective events with their piece, written once: every job below reads them several times,
+    each time other rows and columns."""
+    return materialise(
+        with_pieces(effective_events(trace), ["block_id"], "ts", target_rows, slot_width), "pieces"
+    )
 
 
 def _snapshots(pieces: DataFrame) -> DataFrame:
@@ -153,12 +158,13 @@ def _snapshots(pieces: DataFrame) -> DataFrame:
         .agg(F.max(_standing()).alias("standing"), F.max(_moved()).alias("moved"))
     )
     driver = Window.partitionBy("block_id", "driver_id").orderBy(PIECE)
+    so_far = driver.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     known = per_piece.select(
         "block_id",
         "driver_id",
         PIECE,
-        F.last("standing", ignorenulls=True).over(driver).alias("standing"),
-        F.last("moved", ignorenulls=True).over(driver).alias("moved"),
+        F.last("standing", ignorenulls=True).over(so_far).alias("standing"),
+        F.last("moved", ignorenulls=True).over(so_far).alias("moved"),
         F.lead(PIECE).over(driver).alias("_next"),
     )
     first, last = F.col(PIECE) + 1, F.coalesce("_next", "_last")
@@ -189,14 +195,15 @@ def _driver_history(pieces: DataFrame) -> DataFrame:
     driver = Window.partitionBy("block_id", PIECE, "driver_id").orderBy(
         F.asc_nulls_first("ts"), "seq"
     )
+    so_far = driver.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.select(
         "block_id",
         PIECE,
         "driver_id",
         "ts",
         "seq",
-        F.last("standing", ignorenulls=True).over(driver).alias("standing"),
-        F.last("moved", ignorenulls=True).over(driver).alias("moved"),
+        F.last("standing", ignorenulls=True).over(so_far).alias("standing"),
+        F.last("moved", ignorenulls=True).over(so_far).alias("moved"),
         F.lead(_at()).over(driver).alias("until"),
     ).withColumn("available", F.coalesce("standing.available", F.lit(False)))
 

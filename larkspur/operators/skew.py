@@ -24,10 +24,11 @@ def with_pieces(
     """
     slot = F.floor(F.col(order) / F.lit(slot_width)).cast("bigint")
     group = Window.partitionBy(*keys)
+    so_far = group.orderBy("_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     histogram = (
         df.groupBy(*keys, slot.alias("_slot"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.sum("_n").over(group.orderBy("_slot")) - F.col("_n"))
+        .withColumn("_before", F.sum("_n").over(so_far) - F.col("_n"))
         .withColumn("_total", F.sum("_n").over(group))
         .filter(F.col("_total") > target_rows)
         .select(*keys, "_slot", F.floor(F.col("_before") / F.lit(target_rows)).alias(PIECE))

@@ -15,7 +15,7 @@ from larkspur.sources.sinks import to_long_rows, to_wide_rows
 
 
 def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_articles(article_lines(spark, sf_dir)).select("text")
+    return parse_articles(article_lines(spark, sf_dir))
 
 
 def _grams(spark: SparkSession, sf_dir: str) -> DataFrame:
