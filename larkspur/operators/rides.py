@@ -114,18 +114,23 @@ def _position(axis: str, location_wins: bool) -> Column:
     return F.when(F.col("moved.at") > F.col("standing.at"), moved).otherwise(standing)
 
 
-def driver_state(trace: DataFrame, location_wins: bool = False) -> DataFrame:
-    """Drivers available in each block at the end of the trace. Also runs on a stream."""
-    return available_drivers(
+def driver_history_ends(trace: DataFrame) -> DataFrame:
+    """Last known state and position per block and driver. Also runs on a stream."""
+    return (
         effective_events(trace)
         .filter(F.col("action") != "request")
         .groupBy("block_id", "driver_id")
-        .agg(F.max(_standing()).alias("standing"), F.max(_moved()).alias("moved")),
-        location_wins,
+        .agg(F.max(_standing()).alias("standing"), F.max(_moved()).alias("moved"))
     )
 
 
+def driver_state(trace: DataFrame, location_wins: bool = False) -> DataFrame:
+    """Drivers available in each block at the end of the trace."""
+    return available_drivers(driver_history_ends(trace), location_wins)
+
+
 def available_drivers(states: DataFrame, location_wins: bool = False) -> DataFrame:
+    """Driver table of last known states."""
     return states.filter(F.col("standing.available")).select(
         "block_id",
         "driver_id",

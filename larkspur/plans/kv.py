@@ -2,9 +2,27 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+
 from larkspur.operators import kvlog as ops
 from larkspur.plans.registry import Query
-from larkspur.plans.tables import KV_OPS_SQL, kv_ops, with_clauses
+from larkspur.plans.tables import KV_OPS_SQL, event_stream, kv_ops, kv_ops_of, with_clauses
+from larkspur.session import scratch_path
+from larkspur.streaming.tables import changes_sink, current_rows, kv_latest_stream
+
+_LATEST_SQL = (
+    with_clauses(KV_OPS_SQL)
+    + """SELECT "key", "value", ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY "key" ORDER BY ts DESC, seq DESC) AS place
+  FROM kv_ops WHERE op = 'PUT') WHERE place = 1"""
+)
+
+
+def _streamed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "latest")
+    changes_sink(kv_latest_stream(kv_ops_of(event_stream(spark, sf_dir))), path).awaitTermination()
+    return current_rows(spark.read.parquet(path), "key")
+
 
 QUERIES: dict[str, Query] = {
     "kv_read_as_of": Query(
@@ -19,13 +37,8 @@ QUERIES: dict[str, Query] = {
 FROM (SELECT * FROM kv_ops WHERE op = 'GET') g
 ASOF LEFT JOIN puts p ON g."key" = p."key" AND g.ts > p.ts""",
     ),
-    "kv_latest": Query(
-        lambda spark, d: ops.kv_latest(kv_ops(spark, d)),
-        with_clauses(KV_OPS_SQL)
-        + """SELECT "key", "value", ts FROM (
-  SELECT *, row_number() OVER (PARTITION BY "key" ORDER BY ts DESC, seq DESC) AS place
-  FROM kv_ops WHERE op = 'PUT') WHERE place = 1""",
-    ),
+    "kv_latest": Query(lambda spark, d: ops.kv_latest(kv_ops(spark, d)), _LATEST_SQL),
+    "kv_latest_stream": Query(_streamed_latest, _LATEST_SQL),
     "kv_stale_puts": Query(
         lambda spark, d: ops.kv_stale_puts(kv_ops(spark, d)),
         with_clauses(KV_OPS_SQL)

@@ -67,7 +67,11 @@ WHERE place <= 5"""
 
 
 _BASE = with_clauses(ARTICLES_SQL, _TOKENS_SQL, _GRAMS_SQL, _ENTRIES_SQL)
-_SHARE = F.round("share", 6).alias("share")
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumn("share", F.round("share", 6)).select(*columns)
+
 
 QUERIES: dict[str, Query] = {
     "ngram_count": Query(
@@ -82,22 +86,25 @@ QUERIES: dict[str, Query] = {
         _BASE + "SELECT gram AS word, cnt FROM grams WHERE n = 1",
     ),
     "group_share": Query(
-        lambda spark, d: ops.group_share(
-            ops.phrase_entries(_stored_grams(spark, d)), "head", "word"
-        ).select("head", "word", "cnt", _SHARE),
+        lambda spark, d: _rounded(
+            ops.group_share(ops.phrase_entries(_stored_grams(spark, d)), "head", "word"),
+            *("head", "word", "cnt", "share"),
+        ),
         _BASE
         + """SELECT head, word, cnt,
        round(cnt / CAST(sum(cnt) OVER (PARTITION BY head) AS DOUBLE), 6) AS share FROM phrases""",
     ),
     "word_completion": Query(
-        lambda spark, d: ops.word_completion(ops.unigrams(_stored_grams(spark, d))).select(
-            "prefix", "word", "cnt", _SHARE, "position"
+        lambda spark, d: _rounded(
+            ops.word_completion(ops.unigrams(_stored_grams(spark, d))),
+            *("prefix", "word", "cnt", "share", "position"),
         ),
         _BASE + _ranked_sql("prefixes", "prefix"),
     ),
     "next_word": Query(
-        lambda spark, d: ops.next_word(_stored_grams(spark, d)).select(
-            "head", "word", "cnt", _SHARE, "position"
+        lambda spark, d: _rounded(
+            ops.next_word(_stored_grams(spark, d)),
+            *("head", "word", "cnt", "share", "position"),
         ),
         _BASE + _ranked_sql("phrases", "head"),
     ),
@@ -110,12 +117,15 @@ UNION ALL
 SELECT 'next', head, word, cnt, share, "position" FROM ({_ranked_sql("phrases", "head")})""",
     ),
     "write_wide_row": Query(
-        lambda spark, d: to_long_rows(
-            materialise(
-                to_wide_rows(ops.next_word(_stored_grams(spark, d)), "head"), "wide_rows"
+        lambda spark, d: _rounded(
+            to_long_rows(
+                materialise(
+                    to_wide_rows(ops.next_word(_stored_grams(spark, d)), "head"), "wide_rows"
+                ),
+                "head",
             ),
-            "head",
-        ).select("head", "word", _SHARE),
+            *("head", "word", "share"),
+        ),
         _BASE + f"SELECT head, word, share FROM ({_ranked_sql('phrases', 'head')})",
     ),
 }

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from larkspur.operators import dispatching
 from larkspur.operators import rides as ops
-from larkspur.plans.registry import Query
-from larkspur.plans.tables import TRACE_SQL, table, trace, trace_of, with_clauses
+from larkspur.plans.registry import Plan, Query
+from larkspur.plans.tables import TRACE_SQL, event_stream, trace, trace_of, with_clauses
 from larkspur.session import scratch_path
 from larkspur.streaming.rides import match_sink, match_stream, ride_stream
+from larkspur.streaming.tables import changes_sink, current_rows, driver_state_stream
 
 _EFFECTIVE_SQL = """effective AS (
   SELECT *, CASE
@@ -59,34 +60,94 @@ _COUNTS_SQL = """counts AS (
 _BASE = with_clauses(
     TRACE_SQL, _EFFECTIVE_SQL, _HISTORY_SQL, _CANDIDATES_SQL, _SCORED_SQL, _COUNTS_SQL
 )
-_SCORE = F.round("score", 6).alias("score")
+_STATE_SQL = (
+    _BASE
+    + """SELECT block_id, driver_id, gender, rating, salary, latitude, longitude
+FROM history WHERE until IS NULL AND available"""
+)
+_BEST_SQL = """SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY seq
+              ORDER BY score DESC, CAST(driver_id AS VARCHAR)) AS place
+  FROM scored WHERE score > 0) WHERE place = 1"""
 
+# Matching with removal, one event of every block per recursion step, drivers kept as a list.
+_DRIVER_SQL = (
+    "{'d': driver_id, 'lat': latitude, 'lon': longitude, 'g': gender, 'r': rating, 's': salary}"
+)
+_LIST_SCORE_SQL = """exp(-sqrt(pow(x.lat - latitude, 2) + pow(x.lon - longitude, 2))) * 0.4::DOUBLE
+    + (CASE WHEN gender_preference = 'N' OR gender_preference = x.g THEN 1.0::DOUBLE ELSE 0 END)
+      * 0.2::DOUBLE + x.r / 5.0::DOUBLE * 0.2::DOUBLE + (1 - x.s / 100.0::DOUBLE) * 0.2::DOUBLE"""
+_SEQUENTIAL_SQL = f"""WITH RECURSIVE {TRACE_SQL},
+{_EFFECTIVE_SQL},
+numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY block_id ORDER BY seq) AS i
+  FROM effective WHERE action IS NOT NULL),
+run AS (
+  SELECT DISTINCT block_id, 0::BIGINT AS i,
+         []::STRUCT(d BIGINT, lat DOUBLE, lon DOUBLE, g VARCHAR, r DOUBLE, s DOUBLE)[] AS drivers,
+         NULL::BIGINT AS seq, NULL::BIGINT AS client_id,
+         NULL::STRUCT(neg DOUBLE, k VARCHAR) AS best, 0::BIGINT AS n
+  FROM numbered
+  UNION ALL
+  SELECT block_id, i, CASE action
+           WHEN 'put' THEN list_append(
+             list_filter(drivers, lambda x: x.d <> driver_id), {_DRIVER_SQL})
+           WHEN 'drop' THEN list_filter(drivers, lambda x: x.d <> driver_id)
+           WHEN 'move' THEN list_transform(drivers, lambda x: CASE WHEN x.d = driver_id
+             THEN {{'d': x.d, 'lat': latitude, 'lon': longitude, 'g': x.g, 'r': x.r, 's': x.s}}
+             ELSE x END)
+           ELSE CASE WHEN best.neg < 0
+             THEN list_filter(drivers, lambda x: CAST(x.d AS VARCHAR) <> best.k)
+             ELSE drivers END
+         END, seq, CASE WHEN action = 'request' THEN client_id END, best, len(drivers)
+  FROM (
+    SELECT e.*, r.drivers, CASE WHEN e.action = 'request' THEN list_min(list_transform(r.drivers,
+             lambda x: {{'neg': -({_LIST_SCORE_SQL}), 'k': CAST(x.d AS VARCHAR)}})) END AS best
+    FROM run r JOIN numbered e ON e.block_id = r.block_id AND e.i = r.i + 1)),
+matched AS (
+  SELECT seq, block_id, client_id, best, n, CAST(best.k AS BIGINT) AS driver_id,
+         round(-best.neg, 6) AS score,
+         lag(n) OVER (PARTITION BY block_id ORDER BY seq) AS previous
+  FROM run WHERE client_id IS NOT NULL),
+priced AS (
+  SELECT *, round(CASE WHEN (previous + n) / 2.0 < 4.5
+                  THEN 1 + 2 * (4.5 - (previous + n) / 2.0) / 1.25 ELSE 1 END, 6)::DOUBLE
+              AS price_factor
+  FROM matched)
+"""
+
+
+def _sequential(columns: str) -> str:
+    return _SEQUENTIAL_SQL + f"SELECT {columns} FROM priced WHERE best.neg < 0"
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table read as a stream."""
-    batch = table(spark, sf_dir, "events")
-    return (
-        spark.readStream.schema(batch.schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
 
 
 def _tagged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    locations, _ = ops.split_trace(trace_of(_event_stream(spark, sf_dir)))
-    _, events = ops.split_trace(trace_of(_event_stream(spark, sf_dir)))
+    locations, _ = ops.split_trace(trace_of(event_stream(spark, sf_dir)))
+    _, events = ops.split_trace(trace_of(event_stream(spark, sf_dir)))
     return ride_stream(locations, events)
 
 
-def _streamed_matches(surge: bool):
+def _streamed_matches(surge: bool = False, consume: bool = True) -> Plan:
     def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "matches")
-        match_sink(match_stream(_tagged_stream(spark, sf_dir)), path, surge).awaitTermination()
+        matches = match_stream(_tagged_stream(spark, sf_dir), consume)
+        match_sink(matches, path, surge).awaitTermination()
         return spark.read.parquet(path)
 
     return plan
 
 
+def _streamed_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "drivers")
+    changes_sink(
+        driver_state_stream(trace_of(event_stream(spark, sf_dir))), path
+    ).awaitTermination()
+    return ops.available_drivers(
+        current_rows(spark.read.parquet(path), "block_id", "driver_id")
+    )
+
+
 def _stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per origin and type after both streams were merged."""
     path = scratch_path(spark, "merged")
@@ -122,12 +183,8 @@ QUERIES: dict[str, Query] = {
         _BASE
         + f"SELECT {', '.join(ops.EVENT_COLUMNS)} FROM effective WHERE action IS NOT NULL",
     ),
-    "driver_state": Query(
-        lambda spark, d: ops.driver_state(trace(spark, d)),
-        _BASE
-        + """SELECT block_id, driver_id, gender, rating, salary, latitude, longitude
-FROM history WHERE until IS NULL AND available""",
-    ),
+    "driver_state": Query(lambda spark, d: ops.driver_state(trace(spark, d)), _STATE_SQL),
+    "driver_state_stream": Query(_streamed_drivers, _STATE_SQL),
     "request_driver_candidates": Query(
         lambda spark, d: ops.request_driver_candidates(trace(spark, d)),
         _BASE + "SELECT * FROM candidates",
@@ -135,16 +192,16 @@ FROM history WHERE until IS NULL AND available""",
     "match_score": Query(
         lambda spark, d: ops.scored_candidates(
             ops.request_driver_candidates(trace(spark, d))
-        ).select("seq", "client_id", "driver_id", _SCORE),
+        ).select("seq", "client_id", "driver_id", F.round("score", 6).alias("score")),
         _BASE + "SELECT seq, client_id, driver_id, round(score, 6) AS score FROM scored",
     ),
     "match_reuse": Query(
-        lambda spark, d: ops.match_reuse(trace(spark, d)).withColumn("score", _SCORE),
-        _BASE
-        + """SELECT seq, client_id, driver_id, round(score, 6) AS score FROM (
-  SELECT *, row_number() OVER (PARTITION BY seq
-              ORDER BY score DESC, CAST(driver_id AS VARCHAR)) AS place
-  FROM scored WHERE score > 0) WHERE place = 1""",
+        lambda spark, d: ops.match_reuse(trace(spark, d)).withColumn("score", F.round("score", 6)),
+        _BASE + f"SELECT seq, client_id, driver_id, round(score, 6) AS score FROM ({_BEST_SQL})",
+    ),
+    "match_reuse_stream": Query(
+        _streamed_matches(consume=False),
+        _BASE + f"SELECT seq, client_id, driver_id FROM ({_BEST_SQL})",
     ),
     "available_driver_count": Query(
         lambda spark, d: ops.available_driver_count(trace(spark, d)),
@@ -162,10 +219,14 @@ FROM history WHERE until IS NULL AND available""",
 FROM (SELECT *, lag(drivers) OVER (PARTITION BY block_id ORDER BY seq) AS previous FROM counts)""",
     ),
     "match_consume": Query(
-        lambda spark, d: dispatching.match_consume(trace(spark, d)).withColumn("score", _SCORE)
+        lambda spark, d: dispatching.match_consume(trace(spark, d)).withColumn("score", F.round("score", 6)),
+        _sequential("seq, client_id, driver_id, score"),
     ),
     "match_surge": Query(
-        lambda spark, d: dispatching.match_surge(trace(spark, d)).withColumn("score", _SCORE)
+        lambda spark, d: dispatching.match_surge(trace(spark, d))
+        .withColumn("score", F.round("score", 6))
+        .withColumn("price_factor", F.round("price_factor", 6)),
+        _sequential("seq, client_id, driver_id, score, price_factor"),
     ),
     "stream_in": Query(
         _stream_counts,
@@ -173,6 +234,9 @@ FROM (SELECT *, lag(drivers) OVER (PARTITION BY block_id ORDER BY seq) AS previo
         + """SELECT CASE WHEN "type" = 'DRIVER_LOCATION' THEN 'locations' ELSE 'events' END AS origin,
        "type", count(*) AS cnt, CAST(sum(seq) AS BIGINT) AS seq_sum FROM trace GROUP BY ALL""",
     ),
-    "match_sink": Query(_streamed_matches(surge=False)),
-    "match_sink_surge": Query(_streamed_matches(surge=True)),
+    "match_sink": Query(_streamed_matches(), _sequential("seq, client_id, driver_id")),
+    "match_sink_surge": Query(
+        lambda spark, d: _streamed_matches(surge=True)(spark, d).withColumn("price_factor", F.round("price_factor", 6)),
+        _sequential("seq, client_id, driver_id, price_factor"),
+    ),
 }

@@ -97,8 +97,21 @@ POSTS_SQL = """posts AS (
   FROM events)"""
 
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table read as a stream."""
+    schema = table(spark, sf_dir, "events").schema
+    return (
+        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    )
+
+
 def kv_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    return kv_ops_of(table(spark, sf_dir, "events"))
+
+
+def kv_ops_of(events: DataFrame) -> DataFrame:
+    """Operation log of an ``events`` frame; also used on a stream of that table."""
+    return events.select(
         F.col("event_id").alias("seq"),
         F.concat(F.lit("k"), (F.col("user_id") % 50).cast("string")).alias("key"),
         F.when(F.col("event_type").isin("click", "error"), "GET").otherwise("PUT").alias("op"),

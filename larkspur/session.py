@@ -61,8 +61,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/larkspur/{uuid.uuid4().hex}/{name}"
+    """A fresh path in the shared folder, below one folder per application."""
+    application = spark.sparkContext.applicationId
+    return f"{checkpoint_root(spark).rstrip('/')}/larkspur/{application}/{uuid.uuid4().hex}/{name}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import (
 )
 
 from larkspur.functions.dispatch import Board, Driver, Move
-from larkspur.operators.rides import driver_state, effective_events, split_trace
+from larkspur.operators.rides import effective_events, split_trace
 from larkspur.session import scratch_path
 
 LOCATIONS, EVENTS = "locations", "events"
@@ -141,11 +141,6 @@ def match_stream(
     )
 
 
-def driver_state_stream(trace: DataFrame, location_wins: bool = False) -> DataFrame:
-    """Streaming form of the driver table, by built-in stateful aggregation."""
-    return driver_state(trace, location_wins)
-
-
 def match_sink(
     matches: DataFrame,
     path: str,

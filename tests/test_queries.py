@@ -31,3 +31,13 @@ def test_every_sql_has_a_query():
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_listing_queries_needs_no_session():
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(check.__file__)
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
