@@ -7,6 +7,7 @@ ordering and shuffling.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import NamedTuple
 
 import numpy as np
@@ -37,7 +38,11 @@ class Match(NamedTuple):
 
 
 class Board:
-    """Available drivers of a block, their last location updates and its last driver count."""
+    """Available drivers of a block, their last location updates and its last driver count.
+
+    What scoring needs of the available drivers is kept as a dense table, one row per driver,
+    so that a request is a few array operations.
+    """
 
     def __init__(self, consume: bool = True, location_wins: bool = False) -> None:
         self.consume = consume
@@ -46,12 +51,33 @@ class Board:
         self.moves: dict[int, Move] = {}
         self.taken: set[int] = set()
         self.previous: int | None = None
-        self._columns: tuple | None = None
+        self._ids: list[int] = []
+        self._row: dict[int, int] = {}
+        self._gender_codes: dict[str | None, int] = {None: 0}
+        # latitude, longitude, gender code, rating score, salary score
+        self._table = np.empty((16, 5))
+
+    def restore(self, drivers: Mapping[int, Driver], moves: Mapping[int, Move]) -> None:
+        self.moves.update(moves)
+        for driver_id, driver in drivers.items():
+            self.put(driver_id, driver)
 
     def put(self, driver_id: int, driver: Driver) -> None:
-        self.drivers[driver_id] = driver
         self.taken.discard(driver_id)
-        self._columns = None
+        self.drivers[driver_id] = driver
+        row = self._row.get(driver_id)
+        if row is None:
+            row = self._row[driver_id] = len(self._ids)
+            self._ids.append(driver_id)
+            if row == len(self._table):
+                self._table = np.concatenate([self._table, np.empty_like(self._table)])
+        code = self._gender_codes.setdefault(driver.gender, len(self._gender_codes))
+        self._table[row] = (
+            *self.position(driver_id),
+            code,
+            driver.rating / scoring.MAX_RATING * scoring.RATING_WEIGHT,
+            (1 - driver.salary / scoring.MAX_SALARY) * scoring.SALARY_WEIGHT,
+        )
 
     def drop(self, driver_id: int) -> None:
         self.taken.discard(driver_id)
@@ -63,18 +89,22 @@ class Board:
         self._remove(driver_id)
 
     def _remove(self, driver_id: int) -> None:
-        if self.drivers.pop(driver_id, None) is not None:
-            self._columns = None
         if not self.location_wins:
             self.moves.pop(driver_id, None)
+        if self.drivers.pop(driver_id, None) is None:
+            return
+        row, last = self._row.pop(driver_id), self._ids.pop()
+        if last != driver_id:
+            self._table[row] = self._table[len(self._ids)]
+            self._ids[row], self._row[last] = last, row
 
     def move(self, driver_id: int, move: Move) -> None:
         """Remember a position; that of an absent driver counts only if location updates win."""
-        if driver_id in self.drivers:
-            self._columns = None
-        elif not self.location_wins:
-            return
-        self.moves[driver_id] = move
+        present = driver_id in self.drivers
+        if present or self.location_wins:
+            self.moves[driver_id] = move
+        if present:
+            self._table[self._row[driver_id], :2] = self.position(driver_id)
 
     def count(self) -> int:
         return len(self.drivers)
@@ -97,36 +127,24 @@ class Board:
 
     def request(self, latitude: float, longitude: float, preference: str | None) -> Match | None:
         """Best driver of positive score, ties to the first in text order; removed if consuming."""
-        if not self.drivers:
-            return None
-        if self._columns is None:
-            ids = sorted(self.drivers, key=str)
-            rows = [self.drivers[i] for i in ids]
-            self._columns = (
-                ids,
-                np.array([self.position(i) for i in ids], dtype=float),
-                np.array([r.gender for r in rows], dtype=object),
-                np.array([r.rating for r in rows], dtype=float),
-                np.array([r.salary for r in rows], dtype=float),
-            )
-        ids, places, genders, ratings, salaries = self._columns
-        distance = np.sqrt((places[:, 0] - latitude) ** 2 + (places[:, 1] - longitude) ** 2)
-        known = np.array([g is not None for g in genders], dtype=bool)
+        lat, lon, gender, rating, salary = self._table[: self.count()].T
         if preference is None:
-            fits = np.zeros(len(ids))
+            fits = np.zeros(len(gender), dtype=bool)
         elif preference == scoring.ANY_GENDER:
-            fits = known.astype(float)
+            fits = gender != 0
         else:
-            fits = (known & (genders == preference)).astype(float)
+            fits = gender == self._gender_codes.get(preference, -1)
+        distance = np.sqrt((lat - latitude) ** 2 + (lon - longitude) ** 2)
         scores = (
             np.exp(-distance) * scoring.DISTANCE_WEIGHT
             + fits * scoring.GENDER_WEIGHT
-            + ratings / scoring.MAX_RATING * scoring.RATING_WEIGHT
-            + (1 - salaries / scoring.MAX_SALARY) * scoring.SALARY_WEIGHT
+            + rating
+            + salary
         )
-        best = int(np.argmax(np.nan_to_num(scores, nan=-np.inf)))
-        if not scores[best] > 0:
+        top = np.nanmax(scores, initial=0.0)
+        if not top > 0:
             return None
+        best = min((self._ids[i] for i in np.flatnonzero(scores == top)), key=str)
         if self.consume:
-            self.take(ids[best])
-        return Match(ids[best], float(scores[best]))
+            self.take(best)
+        return Match(best, float(top))

@@ -22,7 +22,7 @@ from larkspur.functions.dispatch import Board, Driver, Move
 from larkspur.functions.scoring import surge_factor
 from larkspur.operators.rides import TS_SLOT, _pieces, _snapshots
 from larkspur.operators.skew import PIECE, SPLIT, carry_forward
-from larkspur.session import materialise
+from larkspur.session import materialise, ship_package
 
 TARGET_ROWS = 200_000
 KEY = ["block_id", PIECE]
@@ -119,6 +119,7 @@ def dispatch(
     slot_width: int = TS_SLOT,
 ) -> DataFrame:
     """Every request with the drivers present before it and its match, if any."""
+    ship_package(trace.sparkSession)
     pieces = _pieces(trace, target_rows, slot_width)
     inputs = materialise(_inputs(pieces), "inputs")
     results = materialise(_run(inputs, consume, location_wins), "round")

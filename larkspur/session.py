@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +68,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/larkspur/{application}/{uuid.uuid4().hex}/{name}"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="larkspur-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 

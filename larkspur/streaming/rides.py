@@ -21,7 +21,7 @@ from pyspark.sql.streaming import (
 
 from larkspur.functions.dispatch import Board, Driver, Move
 from larkspur.operators.rides import effective_events, split_trace
-from larkspur.session import scratch_path
+from larkspur.session import scratch_path, ship_package
 
 LOCATIONS, EVENTS = "locations", "events"
 MATCH = "seq bigint, client_id bigint, driver_id bigint, score double, price_factor double"
@@ -60,10 +60,10 @@ class MatchProcessor(StatefulProcessor):
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
         board = Board(self.consume, self.location_wins)
-        for (driver,), value in self.drivers.iterator():
-            board.drivers[driver] = Driver(*value)
-        for (driver,), value in self.moves.iterator():
-            board.moves[driver] = Move(*value)
+        board.restore(
+            {driver: Driver(*value) for (driver,), value in self.drivers.iterator()},
+            {driver: Move(*value) for (driver,), value in self.moves.iterator()},
+        )
         if self.last.exists():
             board.previous = self.last.get()[0]
         drivers, moves, previous = dict(board.drivers), dict(board.moves), board.previous
@@ -121,6 +121,7 @@ def match_stream(
     ttl_ms: int | None = None,
 ) -> DataFrame:
     """Stream of matches (seq, client_id, driver_id, score, price_factor)."""
+    ship_package(tagged.sparkSession)
     events = effective_events(checked_origin(tagged)).select(
         "block_id",
         "action",
