@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 import zipfile
@@ -72,7 +73,11 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per application."""
+    """Send this package to the executors' Python workers, once per application.
+
+    The worker that prepares a stateful stream runs beside the driver and gets no such files; it
+    finds the package by its path.
+    """
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return
@@ -81,7 +86,12 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(archive, "w") as out:
         for source in sorted(package.rglob("*.py")):
             out.write(source, source.relative_to(package.parent))
-    spark.sparkContext.addPyFile(str(archive))
+    context = spark.sparkContext
+    context.addPyFile(str(archive))
+    known = context.environment.get("PYTHONPATH")
+    context.environment["PYTHONPATH"] = os.pathsep.join(
+        [str(package.parent), *([known] if known else [])]
+    )
     _shipped.add(application)
 
 

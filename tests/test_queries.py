@@ -41,3 +41,22 @@ def test_listing_queries_needs_no_session():
     root = os.path.dirname(check.__file__)
     code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
+def test_python_stages_run_from_any_folder(tmp_path):
+    """Workers must find the package when the application starts elsewhere."""
+    import os
+    import subprocess
+    import sys
+
+    code = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(check.__file__)!r})
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4")
+         .config("spark.ui.enabled", "false").getOrCreate())
+for name in ("match_consume", "match_sink"):
+    assert e.queries()[name](spark, {SF_DIR!r}).count() == 94
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=300)
