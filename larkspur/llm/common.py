@@ -113,3 +113,35 @@ def ragged(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rows = np.repeat(np.arange(len(lengths)), lengths)
     starts = np.cumsum(lengths) - lengths
     return rows, np.arange(len(rows)) - starts[rows]
+
+
+def add_columns(
+    df: DataFrame,
+    ddl: str,
+    work: Callable[[pa.RecordBatch], dict[str, object]],
+    drop: tuple[str, ...] = (),
+    column: str = "text",
+) -> DataFrame:
+    """Append the columns of ``ddl``, computed by ``work`` on bounded slices, and leave out ``drop``.
+
+    All other columns pass through as they are, whatever their names and types; the names in
+    ``ddl`` must be free in ``df``, so operators give them a leading underscore pair.
+    """
+    from pyspark.sql.types import StructType
+
+    added = _struct(ddl)
+    kept = [f for f in df.schema.fields if f.name not in drop]
+    names = [f.name for f in (*kept, *added.fields)]
+    kinds = _arrow(ddl)
+    place = [k for k, f in enumerate(df.schema.fields) if f.name not in drop]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, column):
+            made = work(part)
+            arrays = [part.column(k) for k in place]
+            for field, kind in zip(added.fields, kinds, strict=True):
+                a = made[field.name]
+                arrays.append(a if isinstance(a, pa.Array) else pa.array(a, type=kind))
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return df.mapInArrow(run, StructType([*kept, *added.fields]))

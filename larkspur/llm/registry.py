@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from larkspur.llm import simhash
+from larkspur.llm import contamination, mixing, secrets, simhash
 from larkspur.plans.registry import Query
 
 QUERIES: dict[str, Query] = {
-    "op2_simhash": Query(simhash.op2_simhash),
+    **simhash.QUERIES,
+    **contamination.QUERIES,
+    **mixing.QUERIES,
+    **secrets.QUERIES,
 }

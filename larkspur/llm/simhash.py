@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from larkspur.llm.common import map_texts, prepared, table, words, written
 from larkspur.llm.components import components, local_roots
+from larkspur.plans.registry import Query
 
 BITS, BYTES = 64, 8
 MAX_DISTANCE = 4
@@ -215,3 +216,6 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(prepared(spark), sf_dir, "documents"))
     text = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select("doc_id", text.alias("fingerprint"), "component_id")
+
+
+QUERIES = {"op2_simhash": Query(op2_simhash)}
