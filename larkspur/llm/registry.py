@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from larkspur.llm import contamination, mixing, secrets, simhash
+from larkspur.llm import contamination, language, mixing, quality, rules, secrets, simhash
 from larkspur.plans.registry import Query
 
 QUERIES: dict[str, Query] = {
     **simhash.QUERIES,
-    **contamination.QUERIES,
     **mixing.QUERIES,
     **secrets.QUERIES,
+    **language.QUERIES,
+    **contamination.QUERIES,
+    **quality.QUERIES,
+    **rules.QUERIES,
 }
