@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larkspur.llm import contamination, language, mixing, quality, rules, secrets, simhash
+from larkspur.llm import contamination, language, lengths, mixing, quality, rules, secrets, simhash
 from larkspur.plans.registry import Query
 
 QUERIES: dict[str, Query] = {
@@ -11,6 +11,7 @@ QUERIES: dict[str, Query] = {
     **secrets.QUERIES,
     **language.QUERIES,
     **contamination.QUERIES,
+    **lengths.QUERIES,
     **quality.QUERIES,
     **rules.QUERIES,
 }
