@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from larkspur.llm import contamination, interpolation, language, lengths, mixing, quality, rules, secrets, simhash
+from larkspur.llm import contamination, interpolation, language, lengths, mixing, paragraphs, quality, rules, secrets, simhash
 from larkspur.plans.registry import Query
 
 QUERIES: dict[str, Query] = {
     **interpolation.QUERIES,
     **simhash.QUERIES,
+    **paragraphs.QUERIES,
     **mixing.QUERIES,
     **secrets.QUERIES,
     **language.QUERIES,
