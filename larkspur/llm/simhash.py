@@ -17,10 +17,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import map_texts, prepared, table, words, written
+from larkspur.llm.common import add_columns, map_texts, prepared, table, words, written
 from larkspur.llm.components import components, local_roots
 from larkspur.plans.registry import Query
 
@@ -188,6 +188,49 @@ def _joined(root: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.
     return local_roots(len(root), a, b)
 
 
+def groups(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
+    """(fp, component_id, first): group of each distinct fingerprint of (doc_id, fp) rows.
+
+    ``component_id`` is the group's smallest doc_id, ``first`` the fingerprint that bears it (the
+    smallest such; of all where no document of the group has an id).
+    """
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    linked = components(near_fingerprints(nodes.select("fp"), distance))
+    own = F.struct(F.col("least").isNull().alias("unnamed"), F.col("least").alias("id"), F.col("fp").alias("first"))
+    named = linked.withColumnRenamed("node", "fp").join(nodes, "fp").withColumn("own", own)
+    best = named.groupBy("component").agg(F.min("own").alias("best"))
+    reached = named.join(best, "component").select("fp", "best")
+    return nodes.join(reached, "fp", "left").select(
+        "fp",
+        F.coalesce("best.id", "least").alias("component_id"),
+        F.coalesce("best.first", "fp").alias("first"),
+    )
+
+
+def deduplicated(docs: DataFrame, distance: int = MAX_DISTANCE, width: int = 4, seed: int = 42) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: that of the smallest doc_id.
+
+    Repeated rows of that id and fingerprint leave one. Groups without any id keep one row too.
+    Texts are hashed twice rather than written once more; they meet the list of keepers by id and
+    fingerprint, so no group of copies meets in one task.
+    """
+    prepared(docs.sparkSession)
+    prints = written(simhash(docs, width, seed), "fingerprints")
+    keepers = groups(prints, distance).where("fp = first").select(
+        F.col("fp").alias("__fp"), F.col("component_id").alias("__id")
+    )
+
+    def work(batch: pa.RecordBatch) -> dict[str, object]:
+        hashes = [shingle_hashes(t, width, seed) for t in batch.column("text").to_pylist()]
+        return {"__print": fingerprints(hashes).view(np.int64)}
+
+    own = add_columns(docs, "__print long", work)
+    same = (F.col("__print") == F.col("__fp")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+    once = F.row_number().over(Window.partitionBy("__fp", "__id").orderBy(F.lit(0)))
+    kept = own.join(keepers, same).withColumn("__once", once).where("__once = 1")
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def near_duplicates(
     docs: DataFrame, distance: int = MAX_DISTANCE, width: int = 4, seed: int = 42
 ) -> DataFrame:
@@ -200,14 +243,7 @@ def near_duplicates(
     """
     prepared(docs.sparkSession)
     prints = written(simhash(docs, width, seed), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = components(near_fingerprints(nodes.select("fp"), distance))
-    named = linked.withColumnRenamed("node", "fp").join(nodes, "fp")
-    least = named.groupBy("component").agg(F.min("least").alias("reached"))
-    reached = named.join(least, "component").select("fp", "reached")
-    labels = nodes.join(reached, "fp", "left").select(
-        "fp", F.coalesce("reached", "least").alias("component_id")
-    )
+    labels = groups(prints, distance).select("fp", "component_id")
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
