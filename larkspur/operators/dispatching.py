@@ -6,12 +6,18 @@ pieces that run in parallel, by guessing and repairing: every piece starts from
 drivers its block would have without removals, minus the drivers known to be taken by then. At
 first none are; each round passes the drivers still taken at the end of a piece on to the next
 one and runs again only the pieces whose start changed. When no start changes, every piece has
-run from its true start, so the result is the sequential one. A driver who comes back replaces
-whatever was taken before, so starts settle after few rounds.
+run from its true start, so the result is the sequential one.
+
+A driver who comes back replaces whatever was taken before, so where drivers return, starts settle
+after few rounds. Where they do not, every piece depends on all before it and repairing piece by
+piece would take as many rounds as pieces. So as soon as a round does not halve the pieces that
+are wrong, or after REPAIRS rounds, the rest of each block, from its first wrong piece on, runs in
+one sorted pass that keeps the state of the block as it goes. Rounds write only what they ran.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,11 +26,13 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.dispatch import Board, Driver, Move
 from larkspur.functions.scoring import surge_factor
-from larkspur.operators.rides import TS_SLOT, _pieces, _snapshots
-from larkspur.operators.skew import PIECE, SPLIT, carry_forward
-from larkspur.session import materialise, ship_package
+from larkspur.operators.rides import PIECE_PER_DRIVER, TS_SLOT, _pieces, _snapshots
+from larkspur.operators.skew import PIECE, SPLIT, carry_forward, null_safe_join
+from larkspur.session import discard, materialise, ship_package
 
 TARGET_ROWS = 200_000
+#: Rounds of repairs before the rest of a block runs in one pass.
+REPAIRS = 3
 KEY = ["block_id", PIECE]
 RESULT = (
     "block_id int, _piece bigint, seq bigint, ts bigint, client_id bigint, drivers bigint, "
@@ -62,13 +70,20 @@ def _inputs(pieces: DataFrame) -> DataFrame:
     return events.unionByName(standing).unionByName(moved, allowMissingColumns=True)
 
 
-def _run(inputs: DataFrame, consume: bool, location_wins: bool) -> DataFrame:
+def _run(
+    inputs: DataFrame, consume: bool, location_wins: bool, chained: bool = False
+) -> DataFrame:
     """Apply each piece's rows in order. Rows stream through the task in sorted batches, so only
-    the drivers of one piece are held."""
+    the drivers of one piece are held. ``chained`` pieces go on from the state the one before
+    left, a block in one task; of their inputs only the first piece may bear a snapshot."""
+    together = KEY[:1] if chained else KEY
 
     def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, split, board = None, False, Board(consume, location_wins)
 
+        def same(one: object, other: object) -> bool:
+            return one == other or (pd.isna(one) and pd.isna(other))
+
         def leftovers() -> list[tuple]:
             if not split:
                 return []
@@ -78,14 +93,16 @@ def _run(inputs: DataFrame, consume: bool, location_wins: bool) -> DataFrame:
             out: list[tuple] = []
             for row in batch.itertuples(index=False, name=None):
                 block, piece, is_split, _, action, party, ts, seq, lat, lon, gender, rating, pay = row
-                if (block, piece) != key:
+                if key is None or piece != key[1] or not same(key[0], block):
                     out += leftovers()
-                    key, split = (block, piece), is_split
-                    board = Board(consume, location_wins)
+                    if not chained or key is None or not same(key[0], block):
+                        board = Board(consume, location_wins)
+                    key, split = (block, piece), is_split and not chained
+                at = -math.inf if pd.isna(ts) else ts  # a NULL time is the earliest
                 if action == "put":
-                    board.put(party, Driver(lat, lon, gender, rating, pay, ts, seq))
+                    board.put(party, Driver(lat, lon, gender, rating, pay, at, seq))
                 elif action == "move":
-                    board.move(party, Move(lat, lon, ts, seq))
+                    board.move(party, Move(lat, lon, at, seq))
                 elif action == "drop":
                     board.drop(party)
                 elif action == "taken":
@@ -99,7 +116,7 @@ def _run(inputs: DataFrame, consume: bool, location_wins: bool) -> DataFrame:
         yield _frame(leftovers())
 
     return (
-        inputs.repartition(*KEY)
+        inputs.repartition(*together)
         .sortWithinPartitions(*KEY, "phase", "ts", "seq")
         .mapInPandas(replay, RESULT)
     )
@@ -107,7 +124,7 @@ def _run(inputs: DataFrame, consume: bool, location_wins: bool) -> DataFrame:
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=_COLUMNS)
-    whole = ["_piece", "seq", "ts", "client_id", "drivers", "driver_id"]
+    whole = ["block_id", "_piece", "seq", "ts", "client_id", "drivers", "driver_id"]
     return frame.astype({**dict.fromkeys(whole, "Int64"), "score": "float64", "taken": "bool"})
 
 
@@ -120,46 +137,75 @@ def dispatch(
 ) -> DataFrame:
     """Every request with the drivers present before it and its match, if any."""
     ship_package(trace.sparkSession)
-    pieces = _pieces(trace, target_rows, slot_width)
+    pieces = _pieces(trace, target_rows, slot_width, PIECE_PER_DRIVER)
     inputs = materialise(_inputs(pieces), "inputs")
-    results = materialise(_run(inputs, consume, location_wins), "round")
-    following = (
+    following = materialise(
         pieces.filter(SPLIT)
         .select(*KEY)
         .distinct()
         .withColumn("_next", F.lead(PIECE).over(Window.partitionBy("block_id").orderBy(PIECE)))
-        .filter(F.col("_next").isNotNull())
+        .filter(F.col("_next").isNotNull()),
+        "following",
     )
-    used: DataFrame | None = None
+    discard(pieces)
+    # what each round ran: its results, and its pieces (None: all of them)
+    rounds = [(materialise(_run(inputs, consume, location_wins), "round"), None)]
+    used, wrong_before = None, None
     while consume:
         taken = (
-            results.filter("taken")
-            .select(*KEY, "driver_id")
-            .join(following, KEY)
+            null_safe_join(_newest(rounds).filter("taken").select(*KEY, "driver_id"), following, KEY)
             .select("block_id", F.col("_next").alias(PIECE), F.col("driver_id").alias("party"))
         )
+        taken = materialise(taken, "taken")
         side = [*KEY, "party"]
-        changed = taken if used is None else (
-            taken.join(used, side, "left_anti").unionByName(used.join(taken, side, "left_anti"))
+        changed = taken if used is None else null_safe_join(taken, used, side, "left_anti").unionByName(
+            null_safe_join(used, taken, side, "left_anti")
         )
         changed = materialise(changed.select(*KEY).distinct(), "changed")
-        if changed.isEmpty():
+        wrong = changed.count()
+        if used is not None:
+            discard(used)
+        used = taken
+        if not wrong:
             break
-        used = materialise(taken, "taken")
-        again = inputs.join(changed, KEY, "left_semi").unionByName(
-            used.join(changed, KEY, "left_semi")
-            .withColumn(SPLIT, F.lit(True))
-            .withColumn("phase", F.lit(1))
-            .withColumn("action", F.lit("taken")),
-            allowMissingColumns=True,
+        last = len(rounds) > REPAIRS or (wrong_before is not None and 2 * wrong > wrong_before)
+        start = used.withColumn(SPLIT, F.lit(True)).withColumn("phase", F.lit(1)).withColumn(
+            "action", F.lit("taken")
         )
-        results = materialise(
-            results.join(changed, KEY, "left_anti").unionByName(
-                _run(again, consume, location_wins)
-            ),
-            "round",
+        again, starts = inputs, start
+        if last:
+            first = changed.groupBy("block_id").agg(F.min(PIECE).alias("_first"))
+            rest = null_safe_join(inputs, first, ["block_id"]).filter(F.col(PIECE) >= F.col("_first"))
+            again = rest.filter((F.col(PIECE) == F.col("_first")) | (F.col("phase") == 2)).drop("_first")
+            starts = null_safe_join(start, first, ["block_id"]).filter(
+                F.col(PIECE) == F.col("_first")
+            ).drop("_first")
+            changed = materialise(rest.select(*KEY).distinct(), "changed")
+        else:
+            again = null_safe_join(inputs, changed, KEY, "left_semi")
+            starts = null_safe_join(start, changed, KEY, "left_semi")
+        ran = _run(
+            again.unionByName(starts, allowMissingColumns=True), consume, location_wins, chained=last
         )
-    return results.filter("not taken").drop("taken")
+        rounds.append((materialise(ran, "round"), changed))
+        if last:
+            break
+        wrong_before = wrong
+    discard(inputs)
+    if used is not None:
+        discard(used)
+    return _newest(rounds).filter("not taken").drop("taken")
+
+
+def _newest(rounds: list[tuple[DataFrame, DataFrame | None]]) -> DataFrame:
+    """Results of each piece from the last round that ran it."""
+    rows, later = None, None
+    for results, ran in reversed(rounds):
+        left = results if later is None else null_safe_join(results, later.distinct(), KEY, "left_anti")
+        rows = left if rows is None else rows.unionByName(left)
+        if ran is not None:
+            later = ran if later is None else later.unionByName(ran)
+    return rows
 
 
 def match_consume(
@@ -195,7 +241,7 @@ def match_surge(
     order = Window.partitionBy(*KEY).orderBy("ts", "seq")
     previous = F.coalesce(F.lag("drivers").over(order), F.col("earlier"))
     return (
-        requests.join(carried, KEY, "left")
+        null_safe_join(requests, carried, KEY, "left")
         .withColumn("price_factor", surge_factor(previous, F.col("drivers")))
         .filter(F.col("driver_id").isNotNull())
         .select("seq", "client_id", "driver_id", "score", "price_factor")

@@ -27,7 +27,9 @@ def read_as_of(
     Among PUTs of equal timestamp the later arrival counts.
     """
     put = F.col("op") == "PUT"
-    pieces = with_pieces(ops, ["key"], "ts", target_rows, slot_width)
+    # GETs stand before the PUTs of their instant, also where a piece ends inside one
+    ties = [F.when(put, 1).otherwise(0), "seq"]
+    pieces = with_pieces(ops, ["key"], "ts", target_rows, slot_width, ties)
     summary = pieces.filter(SPLIT).groupBy("key", PIECE).agg(
         F.max_by(F.when(put, F.col("value")), F.when(put, F.struct("ts", "seq"))).alias("value")
     )

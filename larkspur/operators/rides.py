@@ -1,9 +1,10 @@
 """Ride matching over a recorded trace: driver state, candidates, best matches, surge prices.
 
 Rows of a trace take effect in (ts, seq) order within their block. A block with more rows than
-``target_rows`` is cut into consecutive pieces handled by different tasks; every piece starts from
-a snapshot of the drivers then available, carried over from the pieces before it. This also keeps
-the number of (request, driver interval) combinations tested per piece small.
+``target_rows`` is cut into consecutive pieces handled by different tasks. Where drivers themselves
+are needed, every piece starts from a snapshot of those then available, and pieces grow with the
+drivers of their block, so that all snapshots together stay below the number of events. Driver
+counts need none: a piece starts from one number. A NULL block is a block like any other.
 """
 
 from __future__ import annotations
@@ -12,11 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.scoring import match_score, surge_factor
-from larkspur.operators.skew import PIECE, SPLIT, carry_forward, with_pieces
+from larkspur.operators.skew import PIECE, SPLIT, carry_forward, null_safe_join, with_pieces
 from larkspur.session import materialise
 
 TARGET_ROWS = 4096
 TS_SLOT = 1000
+#: Events in a piece for each driver of its block, where drivers are carried over.
+PIECE_PER_DRIVER = 2
 
 LOCATION = "DRIVER_LOCATION"
 EVENT_COLUMNS = [
@@ -142,11 +145,23 @@ def available_drivers(states: DataFrame, location_wins: bool = False) -> DataFra
     )
 
 
-def _pieces(trace: DataFrame, target_rows: int, slot_width: int) -> DataFrame:
+def _pieces(
+    trace: DataFrame, target_rows: int, slot_width: int, per_driver: int = 0
+) -> DataFrame:
     """Effective events with their piece, written once: every job below reads them several times,
-    each time other rows and columns."""
+    each time other rows and columns. A piece has ``per_driver`` events a driver of its block at
+    least, which bounds the drivers carried from piece to piece."""
+    events = effective_events(trace)
+    least = None
+    if per_driver:
+        drivers = events.filter(F.col("action") != "request").groupBy("block_id", "driver_id")
+        least = (
+            drivers.agg(F.count(F.lit(1)))
+            .groupBy("block_id")
+            .agg((F.count(F.lit(1)) * per_driver).alias("_least"))
+        )
     return materialise(
-        with_pieces(effective_events(trace), ["block_id"], "ts", target_rows, slot_width), "pieces"
+        with_pieces(events, ["block_id"], "ts", target_rows, slot_width, ["seq"], least), "pieces"
     )
 
 
@@ -174,7 +189,7 @@ def _snapshots(pieces: DataFrame) -> DataFrame:
     )
     first, last = F.col(PIECE) + 1, F.coalesce("_next", "_last")
     return (
-        known.join(ends, "block_id")
+        null_safe_join(known, ends, ["block_id"])
         .filter((F.col("standing.available") | F.col("moved").isNotNull()) & (first <= last))
         .select(
             "block_id", "driver_id", "standing", "moved", F.explode(F.sequence(first, last)).alias(PIECE)
@@ -220,7 +235,23 @@ def request_driver_candidates(
     slot_width: int = TS_SLOT,
 ) -> DataFrame:
     """Every (request, driver available in its block at that moment)."""
-    pieces = _pieces(trace, target_rows, slot_width)
+    requests, intervals = _requests_and_intervals(trace, location_wins, target_rows, slot_width)
+    return _present(requests, intervals).drop(PIECE, "at", "since", "until")
+
+
+def _present(requests: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Requests paired with the intervals they fall into."""
+    during = (F.col("since").isNull() | (F.col("since") < F.col("at"))) & (
+        F.col("until").isNull() | (F.col("at") < F.col("until"))
+    )
+    return null_safe_join(requests, intervals, ["block_id", PIECE]).filter(during)
+
+
+def _requests_and_intervals(
+    trace: DataFrame, location_wins: bool, target_rows: int, slot_width: int
+) -> tuple[DataFrame, DataFrame]:
+    """Requests, and the intervals in which a driver is available with one state."""
+    pieces = _pieces(trace, target_rows, slot_width, PIECE_PER_DRIVER)
     intervals = (
         _driver_history(pieces)
         .filter("available")
@@ -228,7 +259,7 @@ def request_driver_candidates(
             "block_id",
             PIECE,
             "driver_id",
-            F.when(F.col("ts").isNotNull(), _at()).alias("since"),
+            F.when(F.col("seq").isNotNull(), _at()).alias("since"),
             "until",
             F.col("standing.gender").alias("gender"),
             F.col("standing.rating").alias("rating"),
@@ -247,12 +278,7 @@ def request_driver_candidates(
         F.col("latitude").alias("request_latitude"),
         F.col("longitude").alias("request_longitude"),
     )
-    during = (F.col("since").isNull() | (F.col("since") < F.col("at"))) & (
-        F.col("until").isNull() | (F.col("at") < F.col("until"))
-    )
-    return (
-        requests.join(intervals, ["block_id", PIECE]).filter(during).drop(PIECE, "at", "since", "until")
-    )
+    return requests, intervals
 
 
 def scored_candidates(candidates: DataFrame) -> DataFrame:
@@ -282,35 +308,35 @@ def match_reuse(
 ) -> DataFrame:
     """Best driver per request, drivers staying available: (seq, client_id, driver_id, score).
 
-    Scores must be positive; equal ones go to the driver first in text order. The best is kept
-    while the candidates stream out of the join, so they are never shuffled.
+    Scores must be positive; equal ones go to the driver first in text order. The highest score is
+    a hash aggregate right behind the join, whose partitioning it shares; drivers are looked up in
+    a second pass that keeps only the pairs with that score. Pairs are neither shuffled nor sorted.
     """
-    scored = scored_candidates(
-        request_driver_candidates(trace, location_wins, target_rows, slot_width)
-    )
-    best = F.min(F.struct((-F.col("score")).alias("neg"), F.col("driver_id").cast("string").alias("d")))
+    requests, intervals = _requests_and_intervals(trace, location_wins, target_rows, slot_width)
+    request = ["block_id", PIECE, "seq", "client_id"]
+    scored = scored_candidates(_present(requests, intervals)).filter(F.col("score") > 0)
+    highest = scored.groupBy(*request).agg(F.max("score").alias("highest"))
+    wanted = null_safe_join(requests, highest, request)
+    best = scored_candidates(_present(wanted, intervals)).filter(F.col("score") == F.col("highest"))
     return (
-        scored.filter(F.col("score") > 0)
-        .groupBy("seq", "client_id")
-        .agg(best.alias("_best"))
-        .select(
-            "seq",
-            "client_id",
-            F.col("_best.d").cast("bigint").alias("driver_id"),
-            (-F.col("_best.neg")).alias("score"),
-        )
+        best.groupBy("seq", "client_id")
+        .agg(F.min(F.col("driver_id").cast("string")).alias("_first"), F.max("score").alias("score"))
+        .select("seq", "client_id", F.col("_first").cast("bigint").alias("driver_id"), "score")
     )
 
 
 def _request_counts(trace: DataFrame, target_rows: int, slot_width: int) -> DataFrame:
-    """Requests with the number of drivers then in their block, still tagged with their piece."""
+    """Requests with the number of drivers then in their block, still tagged with their piece.
+
+    Arrivals and departures are summed per piece, and each piece starts from the sum of the pieces
+    before it.
+    """
     pieces = _pieces(trace, target_rows, slot_width)
-    driver = Window.partitionBy("block_id", PIECE, "driver_id").orderBy(
-        F.asc_nulls_first("ts"), "seq"
-    )
-    now = F.col("available").cast("int")
+    in_order = (F.asc_nulls_first("ts"), F.asc_nulls_first("seq"))
+    driver = Window.partitionBy("block_id", "driver_id").orderBy(*in_order)
+    now = (F.col("action") == "put").cast("int")
     changes = (
-        _driver_history(pieces)
+        pieces.filter(F.col("action").isin("put", "drop"))
         .withColumn("change", now - F.coalesce(F.lag(now).over(driver), F.lit(0)))
         .filter(F.col("change") != 0)
         .select("block_id", PIECE, "ts", "seq", "change")
@@ -318,16 +344,21 @@ def _request_counts(trace: DataFrame, target_rows: int, slot_width: int) -> Data
     requests = pieces.filter(F.col("action") == "request").select(
         "block_id", PIECE, "ts", "seq", "client_id", F.lit(0).alias("change")
     )
+    both = changes.unionByName(requests, allowMissingColumns=True)
+    sums = both.groupBy("block_id", PIECE).agg(F.sum("change").alias("_start"))
+    carried = carry_forward(sums, ["block_id"], "_start", "sum")
     so_far = (
         Window.partitionBy("block_id", PIECE)
-        .orderBy(F.asc_nulls_first("ts"), "seq")
+        .orderBy(*in_order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    counted = both.withColumn("_inside", F.sum("change").over(so_far)).filter(
+        F.col("client_id").isNotNull()
+    )
     return (
-        changes.unionByName(requests, allowMissingColumns=True)
-        .withColumn("drivers", F.sum("change").over(so_far))
-        .filter(F.col("client_id").isNotNull())
-        .drop("change")
+        null_safe_join(counted, carried, ["block_id", PIECE], "left")
+        .withColumn("drivers", F.coalesce("_start", F.lit(0)) + F.col("_inside"))
+        .drop("change", "_inside", "_start")
     )
 
 
@@ -355,7 +386,7 @@ def surge_prices(
     order = Window.partitionBy("block_id", PIECE).orderBy("ts", "seq")
     previous = F.coalesce(F.lag("drivers").over(order), F.col("earlier"))
     return (
-        counts.join(carried, ["block_id", PIECE], "left")
+        null_safe_join(counts, carried, ["block_id", PIECE], "left")
         .withColumn("previous", previous)
         .select(
             "seq",

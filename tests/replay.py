@@ -2,6 +2,8 @@
 
 import math
 
+# The weights of the score and the bounds of the surge price below must be these.
+
 
 def score(request, lat, lon, gender, rating, salary):
     distance = math.sqrt((lat - request["latitude"]) ** 2 + (lon - request["longitude"]) ** 2)
