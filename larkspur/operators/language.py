@@ -41,8 +41,8 @@ def ngram_count(
 ) -> DataFrame:
     """Counts of all 1..nmax-grams that occur at least ``min_count`` times.
 
-    Each row exploded is a window of up to nmax words, cut into its prefixes afterwards, so
-    no array of all grams of a text is built. ``observation`` receives ``emitted``, the number of
+    Start positions are exploded, then the lengths from there, so no array of all grams of a text
+    is built. ``observation`` receives ``emitted``, the number of
     grams counted.
     """
     words = word_arrays(text)

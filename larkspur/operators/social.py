@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.dates import post_time
 from larkspur.operators.skew import split_join
+from larkspur.session import materialise
 
 UNAUTHORIZED = ("Unauthorized", "#")
 
@@ -70,6 +71,31 @@ def ordered_followers(
     return followers(links, users, ids).orderBy("user_id", "name", "profile_url")
 
 
+def numbered_followers(
+    links: DataFrame, users: DataFrame, ids: DataFrame | None = None
+) -> DataFrame:
+    """Followers with their ``position`` in page order, from 1.
+
+    Rows are range-partitioned by the whole order and written once; rows are numbered inside each
+    range, after those of the user's earlier ranges, so a user's many followers meet in no task.
+    """
+    order = ["user_id", "name", "profile_url"]
+    ranges = followers(links, users, ids).repartitionByRange(*order)
+    ranges = materialise(ranges.withColumn("_range", F.spark_partition_id()), "followers")
+    earlier = Window.partitionBy("user_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = (
+        ranges.groupBy("user_id", "_range")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("user_id", "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_ahead"))
+    )
+    inside = F.row_number().over(Window.partitionBy("user_id", "_range").orderBy("name", "profile_url"))
+    return (
+        ranges.withColumn("_inside", inside)
+        .join(ahead, ["user_id", "_range"])
+        .select(*order, (F.col("_ahead") + F.col("_inside")).cast("int").alias("position"))
+    )
+
+
 def user_posts(posts: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Posts of each user, oldest first, ties by post id."""
     mine = posts if ids is None else posts.join(
@@ -82,13 +108,15 @@ def user_posts(posts: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     )
 
 
-def followee_posts(links: DataFrame, posts: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+def followee_posts(
+    links: DataFrame, posts: DataFrame, ids: DataFrame | None = None, block: int = 4096
+) -> DataFrame:
     """Every post of every followee, per user.
 
     Both sides may repeat an author many times, so a busy author is joined in bounded blocks.
     """
     followed = _for_users(links.select(F.col("src").alias("user_id"), F.col("dst").alias("uid")), ids)
-    return split_join(followed, posts, "uid", "user_id", "pid").select(
+    return split_join(followed, posts, "uid", "user_id", "pid", block).select(
         "user_id", "uid", "pid", "timestamp", "content"
     )
 
@@ -103,13 +131,15 @@ def timeline_posts(
     applies ahead of the shuffle.
     """
     newest = [F.desc_nulls_last("_at"), F.asc("pid")]
+    followed = _for_users(links.select(F.col("src").alias("user_id"), F.col("dst").alias("uid")), ids)
+    if ids is not None:  # rank the posts of authors somebody asks for, no others
+        posts = posts.join(followed.select("uid").distinct(), "uid", "left_semi")
     recent = (
         posts.withColumn("_at", post_time("timestamp"))
         .withColumn("_rank", F.row_number().over(Window.partitionBy("uid").orderBy(*newest)))
         .filter(F.col("_rank") <= k)
         .drop("_rank")
     )
-    followed = _for_users(links.select(F.col("src").alias("user_id"), F.col("dst").alias("uid")), ids)
     return (
         followed.join(recent, "uid")
         .withColumn("_rank", F.row_number().over(Window.partitionBy("user_id").orderBy(*newest)))
@@ -133,7 +163,8 @@ def timeline(
 ) -> DataFrame:
     """Profile, followers and newest followee posts of each user, as tagged rows.
 
-    ``section`` is profile, follower or post. A user without a profile has an empty one.
+    ``section`` is profile, follower or post; ``position`` is the place in the user's followers by
+    name and image, or posts. A user without a profile has an empty one.
     """
     everyone = ids if ids is not None else (
         users.select("user_id")
@@ -146,9 +177,9 @@ def timeline(
         .fillna("", ["name", "profile_url"])
         .withColumn("section", F.lit("profile"))
     )
-    fans = followers(links, users, ids).withColumn("section", F.lit("follower"))
+    fans = numbered_followers(links, users, ids).withColumn("section", F.lit("follower"))
     feed = timeline_posts(links, posts, ids, k).withColumn("section", F.lit("post"))
-    return own.unionByName(fans).unionByName(feed, allowMissingColumns=True).select(
+    return own.unionByName(fans, allowMissingColumns=True).unionByName(feed, allowMissingColumns=True).select(
         "user_id", "section", "name", "profile_url", "position", "uid", "pid", "timestamp", "content"
     )
 
@@ -162,13 +193,16 @@ def mutual_count(links: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """
     first = links.select(F.col("src").alias("user_id"), F.col("dst").alias("_via"))
     second = links.select(F.col("src").alias("_via"), F.col("dst").alias("candidate"))
+    followed = links.select(F.col("src").alias("user_id"), F.col("dst").alias("candidate"))
+    if ids is not None:  # only links of those that somebody asked for follows
+        first, followed = _for_users(first, ids), _for_users(followed, ids)
+        second = second.join(first.select("_via").distinct(), "_via", "left_semi")
     scored = (
-        split_join(_for_users(first, ids), second, "_via", "user_id", "candidate")
+        split_join(first, second, "_via", "user_id", "candidate")
         .filter(F.col("candidate") != F.col("user_id"))
         .groupBy("user_id", "candidate")
         .agg(F.count(F.lit(1)).alias("score"))
     )
-    followed = links.select(F.col("src").alias("user_id"), F.col("dst").alias("candidate"))
     return scored.join(followed, ["user_id", "candidate"], "left_anti")
 
 

@@ -81,28 +81,25 @@ QUERIES: dict[str, Query] = {
         + "OR contains(\"release\", 'SMALL') OR contains(artist_name, 'SMALL')",
     ),
     "digit_regex_match": Query(
-        lambda spark, d: (
-            songs(spark, d)
-            .select(
-                "track_id",
-                F.col("duration")
-                .cast("string")
-                .rlike(ops.AT_LEAST_400_PATTERN)
-                .alias("at_least_400"),
-                F.col("artist_hotttnesss")
-                .cast("string")
-                .rlike(ops.AT_LEAST_1_PATTERN)
-                .alias("at_least_1"),
-            )
-            .filter("at_least_400 OR at_least_1")
+        lambda spark, d: ops.regex_match(
+            ops.regex_match(
+                songs(spark, d).select(
+                    "track_id",
+                    (F.col("duration") / 2.3).alias("length"),
+                    (F.col("artist_hotttnesss") * 1.05).alias("heat"),
+                ),
+                "length",
+                ops.AT_LEAST_400_PATTERN,
+            ),
+            "heat",
+            ops.AT_LEAST_1_PATTERN,
         ),
         with_clauses(SONGS_SQL)
         + f"""SELECT * FROM (
-  SELECT track_id,
-         regexp_matches(CAST(duration AS VARCHAR), '{ops.AT_LEAST_400_PATTERN}') AS at_least_400,
-         regexp_matches(CAST(artist_hotttnesss AS VARCHAR), '{ops.AT_LEAST_1_PATTERN}')
-           AS at_least_1
-  FROM songs) WHERE at_least_400 OR at_least_1""",
+  SELECT track_id, duration / 2.3::DOUBLE AS length,
+         artist_hotttnesss * 1.05::DOUBLE AS heat FROM songs)
+WHERE regexp_matches(CAST(length AS VARCHAR), '{ops.AT_LEAST_400_PATTERN}')
+  AND regexp_matches(CAST(heat AS VARCHAR), '{ops.AT_LEAST_1_PATTERN}')""",
     ),
     "row_count": Query(
         lambda spark, d: ops.row_count(songs(spark, d)),

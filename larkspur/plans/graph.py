@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from larkspur.operators import graph as ops
 from larkspur.plans.registry import Query
 from larkspur.plans.tables import LINKS_SQL, RAW_EDGES_SQL, links, raw_edges, with_clauses
+from larkspur.session import scratch_path
+from larkspur.sources.files import read_edges, read_ranks
+from larkspur.sources.sinks import write_tsv
 
 _VERTICES_SQL = "vertices AS (SELECT src AS id FROM links UNION SELECT dst FROM links)"
 _OUT_SQL = "outs AS (SELECT src, count(*) AS degree FROM links GROUP BY src)"
@@ -59,7 +62,54 @@ def _pagerank(dangling: str, rounds: int = 10) -> Query:
     )
 
 
+def _rank_then_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks written as text by one job and read back by the next, which recommends."""
+    path = scratch_path(spark, "ranks")
+    write_tsv(ops.pagerank(links(spark, sf_dir), 3).select("id", F.round("rank", 6)), path)
+    found = ops.influencer_two_hop(links(spark, sf_dir), read_ranks(spark, path))
+    return found.withColumn("influence", F.round("influence", 6))
+
+
+def _two_hop_sql(ranks: str) -> str:
+    return f"""firsts AS (
+  SELECT * FROM (
+    SELECT l.src AS id, l.dst AS best, r.rank,
+           row_number() OVER (PARTITION BY l.src ORDER BY r.rank DESC, l.dst) AS place
+    FROM links l JOIN {ranks} r ON r.id = l.dst) WHERE place = 1),
+passed AS (
+  SELECT v.id, coalesce(f.best, 0) AS best, coalesce(f.rank, 0.0)::DOUBLE AS rank
+  FROM vertices v LEFT JOIN firsts f ON f.id = v.id)"""
+
+
+_TWO_HOP_SQL = """SELECT user_id, recommended_id, influence FROM (
+  SELECT l.src AS user_id, p.best AS recommended_id, p.rank AS influence,
+         row_number() OVER (PARTITION BY l.src ORDER BY p.rank DESC, p.best) AS place
+  FROM links l JOIN passed p ON p.id = l.dst) WHERE place = 1"""
+
+
+def _string_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges whose ids are any text."""
+    path = scratch_path(spark, "edges")
+    name = F.concat(F.lit("u "), F.col("src").cast("string"))
+    write_tsv(raw_edges(spark, sf_dir).select(name, "dst"), path)
+    return read_edges(spark, path, ids="string")
+
+
 QUERIES: dict[str, Query] = {
+    "rank_then_recommend": Query(
+        _rank_then_recommend,
+        _pagerank_sql(3, "spread").rstrip()
+        + """,
+rounded AS MATERIALIZED (SELECT id, round(rank, 6) AS rank FROM r3),
+"""
+        + _two_hop_sql("rounded")
+        + "\n"
+        + _TWO_HOP_SQL,
+    ),
+    "read_edges_text": Query(
+        _string_edges,
+        with_clauses(RAW_EDGES_SQL) + "SELECT 'u ' || src AS src, CAST(dst AS VARCHAR) AS dst FROM raw_edges",
+    ),
     "follower_count": Query(
         lambda spark, d: ops.follower_count(raw_edges(spark, d)),
         with_clauses(RAW_EDGES_SQL)
@@ -133,18 +183,8 @@ FROM links JOIN outs USING (src) GROUP BY dst""",
   SELECT v.id, coalesce(r.rank, 0.0)::DOUBLE AS rank FROM vertices v
   LEFT JOIN (SELECT dst AS id, count(*)::DOUBLE AS rank FROM links GROUP BY dst) r
     ON r.id = v.id)""",
-            """firsts AS (
-  SELECT * FROM (
-    SELECT l.src AS id, l.dst AS best, r.rank,
-           row_number() OVER (PARTITION BY l.src ORDER BY r.rank DESC, l.dst) AS place
-    FROM links l JOIN ranks r ON r.id = l.dst) WHERE place = 1)""",
-            """passed AS (
-  SELECT v.id, coalesce(f.best, 0) AS best, coalesce(f.rank, 0.0)::DOUBLE AS rank
-  FROM vertices v LEFT JOIN firsts f ON f.id = v.id)""",
+            _two_hop_sql("ranks"),
         )
-        + """SELECT user_id, recommended_id, influence FROM (
-  SELECT l.src AS user_id, p.best AS recommended_id, p.rank AS influence,
-         row_number() OVER (PARTITION BY l.src ORDER BY p.rank DESC, p.best) AS place
-  FROM links l JOIN passed p ON p.id = l.dst) WHERE place = 1""",
+        + _TWO_HOP_SQL,
     ),
 }

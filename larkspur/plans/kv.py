@@ -24,28 +24,36 @@ def _streamed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_rows(spark.read.parquet(path), "key")
 
 
-QUERIES: dict[str, Query] = {
-    "kv_read_as_of": Query(
-        lambda spark, d: ops.read_as_of(kv_ops(spark, d)),
-        with_clauses(
-            KV_OPS_SQL,
-            """puts AS (
+_AS_OF_SQL = (
+    with_clauses(
+        KV_OPS_SQL,
+        """puts AS (
   SELECT "key", ts, arg_max("value", seq) AS "value" FROM kv_ops WHERE op = 'PUT'
   GROUP BY "key", ts)""",
-        )
-        + """SELECT g.seq, g."key", g.ts, coalesce(p."value", '0') AS "value"
+    )
+    + """SELECT g.seq, g."key", g.ts, coalesce(p."value", '0') AS "value"
 FROM (SELECT * FROM kv_ops WHERE op = 'GET') g
-ASOF LEFT JOIN puts p ON g."key" = p."key" AND g.ts > p.ts""",
+ASOF LEFT JOIN puts p ON g."key" = p."key" AND g.ts > p.ts"""
+)
+
+_STALE_SQL = (
+    with_clauses(KV_OPS_SQL)
+    + """SELECT seq, "key", "value", ts, newest FROM (
+  SELECT *, max(ts) OVER (PARTITION BY "key" ORDER BY seq
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+  FROM kv_ops WHERE op = 'PUT') WHERE ts < newest"""
+)
+
+QUERIES: dict[str, Query] = {
+    "kv_read_as_of": Query(lambda spark, d: ops.read_as_of(kv_ops(spark, d)), _AS_OF_SQL),
+    "kv_read_as_of_split": Query(
+        lambda spark, d: ops.read_as_of(kv_ops(spark, d), target_rows=16), _AS_OF_SQL
     ),
     "kv_latest": Query(lambda spark, d: ops.kv_latest(kv_ops(spark, d)), _LATEST_SQL),
     "kv_latest_stream": Query(_streamed_latest, _LATEST_SQL),
-    "kv_stale_puts": Query(
-        lambda spark, d: ops.kv_stale_puts(kv_ops(spark, d)),
-        with_clauses(KV_OPS_SQL)
-        + """SELECT seq, "key", "value", ts, newest FROM (
-  SELECT *, max(ts) OVER (PARTITION BY "key" ORDER BY seq
-                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
-  FROM kv_ops WHERE op = 'PUT') WHERE ts < newest""",
+    "kv_stale_puts": Query(lambda spark, d: ops.kv_stale_puts(kv_ops(spark, d)), _STALE_SQL),
+    "kv_stale_puts_split": Query(
+        lambda spark, d: ops.kv_stale_puts(kv_ops(spark, d), target_rows=16), _STALE_SQL
     ),
     "kv_region_load": Query(
         lambda spark, d: ops.kv_region_load(kv_ops(spark, d)),

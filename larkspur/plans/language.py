@@ -9,9 +9,9 @@ from larkspur.functions.text import REF_CLOSE_PATTERN, REF_OPEN_PATTERN, URL_PAT
 from larkspur.operators import language as ops
 from larkspur.plans.registry import Query
 from larkspur.plans.tables import ARTICLES_SQL, article_lines, with_clauses
-from larkspur.session import materialise
-from larkspur.sources.files import parse_articles
-from larkspur.sources.sinks import to_long_rows, to_wide_rows
+from larkspur.session import materialise, scratch_path
+from larkspur.sources.files import parse_articles, read_grams
+from larkspur.sources.sinks import to_long_rows, to_wide_rows, write_tsv
 
 
 def _articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,16 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumn("share", F.round("share", 6)).select(*columns)
 
 
+def _reread_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "grams_text")
+    write_tsv(_grams(spark, sf_dir).select("gram", "cnt"), path)
+    return read_grams(spark, path)
+
+
 QUERIES: dict[str, Query] = {
+    "read_grams": Query(
+        _reread_grams, _BASE + "SELECT gram, CAST(n AS INTEGER) AS n, cnt FROM grams"
+    ),
     "ngram_count": Query(
         _grams, _BASE + "SELECT gram, CAST(n AS INTEGER) AS n, cnt FROM grams"
     ),
@@ -96,7 +105,7 @@ QUERIES: dict[str, Query] = {
     ),
     "word_completion": Query(
         lambda spark, d: _rounded(
-            ops.word_completion(ops.unigrams(_stored_grams(spark, d))),
+            ops.word_completion(ops.unigrams(ops.ngram_count(_articles(spark, d), nmax=1))),
             *("prefix", "word", "cnt", "share", "position"),
         ),
         _BASE + _ranked_sql("prefixes", "prefix"),

@@ -117,6 +117,22 @@ priced AS (
 """
 
 
+# Any location update of a driver overrides where they were put.
+_LOCATION_WINS = {
+    f"arg_max({axis}, seq) FILTER (WHERE action IN ('put', 'move')) OVER w AS {axis}": (
+        f"coalesce(arg_max({axis}, seq) FILTER (WHERE action = 'move') OVER w, "
+        f"arg_max({axis}, seq) FILTER (WHERE action = 'put') OVER w) AS {axis}"
+    )
+    for axis in ("latitude", "longitude")
+}
+
+
+def _location_wins(sql: str) -> str:
+    for newest, moved in _LOCATION_WINS.items():
+        sql = sql.replace(newest, moved)
+    return sql
+
+
 def _sequential(columns: str) -> str:
     return _SEQUENTIAL_SQL + f"SELECT {columns} FROM priced WHERE best.neg < 0"
 
@@ -199,6 +215,32 @@ QUERIES: dict[str, Query] = {
         lambda spark, d: ops.match_reuse(trace(spark, d)).withColumn("score", F.round("score", 6)),
         _BASE + f"SELECT seq, client_id, driver_id, round(score, 6) AS score FROM ({_BEST_SQL})",
     ),
+    "match_reuse_split": Query(
+        lambda spark, d: ops.match_reuse(trace(spark, d), target_rows=16).withColumn(
+            "score", F.round("score", 6)
+        ),
+        _BASE + f"SELECT seq, client_id, driver_id, round(score, 6) AS score FROM ({_BEST_SQL})",
+    ),
+    "driver_state_location_wins": Query(
+        lambda spark, d: ops.driver_state(trace(spark, d), location_wins=True), _location_wins(_STATE_SQL)
+    ),
+    "match_reuse_location_wins": Query(
+        lambda spark, d: ops.match_reuse(trace(spark, d), location_wins=True).withColumn(
+            "score", F.round("score", 6)
+        ),
+        _location_wins(_BASE)
+        + f"SELECT seq, client_id, driver_id, round(score, 6) AS score FROM ({_BEST_SQL})",
+    ),
+    "available_driver_count_split": Query(
+        lambda spark, d: ops.available_driver_count(trace(spark, d), target_rows=16),
+        _BASE + "SELECT seq, block_id, client_id, drivers FROM counts",
+    ),
+    "match_consume_split": Query(
+        lambda spark, d: dispatching.match_consume(trace(spark, d), target_rows=16).withColumn(
+            "score", F.round("score", 6)
+        ),
+        _sequential("seq, client_id, driver_id, score"),
+    ),
     "match_reuse_stream": Query(
         _streamed_matches(consume=False),
         _BASE + f"SELECT seq, client_id, driver_id FROM ({_BEST_SQL})",

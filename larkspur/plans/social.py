@@ -51,6 +51,37 @@ _FEED_SQL = """feed AS (
 _FOLLOWERS_SQL = """SELECT l.dst AS user_id, u.name, u.profile_url
 FROM links l JOIN users u ON l.src = u.user_id"""
 
+#: Users asked for: an id list, read from the suppliers.
+_ASKED = "(SELECT s_suppkey FROM supplier)"
+
+_TIMELINE_SQL = (
+    with_clauses(LINKS_SQL, USERS_SQL, POSTS_SQL, _FEED_SQL)
+    + f"""SELECT e.user_id, 'profile' AS section, coalesce(u.name, '') AS name,
+       coalesce(u.profile_url, '') AS profile_url, CAST(NULL AS INTEGER) AS "position",
+       CAST(NULL AS BIGINT) AS uid, CAST(NULL AS BIGINT) AS pid,
+       CAST(NULL AS VARCHAR) AS "timestamp", CAST(NULL AS VARCHAR) AS content
+FROM (SELECT user_id FROM users UNION SELECT src FROM links UNION SELECT dst FROM links) e
+LEFT JOIN users u ON u.user_id = e.user_id
+UNION ALL
+SELECT user_id, 'follower', name, profile_url,
+       CAST(row_number() OVER (PARTITION BY user_id ORDER BY name, profile_url) AS INTEGER),
+       NULL, NULL, NULL, NULL
+FROM ({_FOLLOWERS_SQL})
+UNION ALL
+SELECT user_id, 'post', NULL, NULL, CAST("position" AS INTEGER), uid, pid, "timestamp", content
+FROM feed"""
+)
+
+_RECOMMEND_SQL = (
+    with_clauses(LINKS_SQL, USERS_SQL, _MUTUAL_SQL)
+    + """SELECT r.user_id, CAST(r."position" AS INTEGER) AS "position", r.candidate, r.score,
+       u.name, u.profile_url
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, candidate)
+    AS "position" FROM scored) r
+JOIN users u ON u.user_id = r.candidate
+WHERE r."position" <= 10"""
+)
+
 QUERIES: dict[str, Query] = {
     "profile_lookup": Query(
         lambda spark, d: ops.profile_lookup(users(spark, d), _login_requests(spark, d)),
@@ -90,20 +121,36 @@ FROM links l JOIN posts p ON l.dst = p.uid""",
         + "content FROM feed",
     ),
     "timeline": Query(
-        lambda spark, d: ops.timeline(links(spark, d), users(spark, d), posts(spark, d)),
-        with_clauses(LINKS_SQL, USERS_SQL, POSTS_SQL, _FEED_SQL)
-        + f"""SELECT e.user_id, 'profile' AS section, coalesce(u.name, '') AS name,
-       coalesce(u.profile_url, '') AS profile_url, CAST(NULL AS INTEGER) AS "position",
-       CAST(NULL AS BIGINT) AS uid, CAST(NULL AS BIGINT) AS pid,
-       CAST(NULL AS VARCHAR) AS "timestamp", CAST(NULL AS VARCHAR) AS content
-FROM (SELECT user_id FROM users UNION SELECT src FROM links UNION SELECT dst FROM links) e
-LEFT JOIN users u ON u.user_id = e.user_id
-UNION ALL
-SELECT user_id, 'follower', name, profile_url, NULL, NULL, NULL, NULL, NULL
-FROM ({_FOLLOWERS_SQL})
-UNION ALL
-SELECT user_id, 'post', NULL, NULL, CAST("position" AS INTEGER), uid, pid, "timestamp", content
-FROM feed""",
+        lambda spark, d: ops.timeline(links(spark, d), users(spark, d), posts(spark, d)), _TIMELINE_SQL
+    ),
+    "timeline_of": Query(
+        lambda spark, d: ops.timeline(
+            links(spark, d), users(spark, d), posts(spark, d), _suppliers(spark, d)
+        ),
+        f"SELECT * FROM ({_TIMELINE_SQL}) WHERE user_id IN {_ASKED}\n"
+        "UNION ALL SELECT s_suppkey, 'profile', '', '', NULL, NULL, NULL, NULL, NULL FROM supplier\n"
+        f"WHERE s_suppkey NOT IN (SELECT user_id FROM ({_TIMELINE_SQL}) WHERE section = 'profile')",
+    ),
+    "followers_of": Query(
+        lambda spark, d: ops.ordered_followers(links(spark, d), users(spark, d), _suppliers(spark, d)),
+        with_clauses(LINKS_SQL, USERS_SQL) + _FOLLOWERS_SQL + f"\nWHERE l.dst IN {_ASKED}",
+    ),
+    "user_posts_of": Query(
+        lambda spark, d: ops.user_posts(posts(spark, d), _suppliers(spark, d)),
+        with_clauses(POSTS_SQL)
+        + f'SELECT uid, pid, "timestamp", content FROM posts WHERE uid IN {_ASKED}',
+    ),
+    "recommend_of": Query(
+        lambda spark, d: ops.recommend_followees(
+            links(spark, d), users(spark, d), _suppliers(spark, d)
+        ),
+        f"SELECT * FROM ({_RECOMMEND_SQL}) WHERE user_id IN {_ASKED}",
+    ),
+    "followee_posts_split": Query(
+        lambda spark, d: ops.followee_posts(links(spark, d), posts(spark, d), block=8),
+        with_clauses(LINKS_SQL, POSTS_SQL)
+        + """SELECT l.src AS user_id, p.uid, p.pid, p."timestamp", p.content
+FROM links l JOIN posts p ON l.dst = p.uid""",
     ),
     "two_hop_candidates": Query(
         lambda spark, d: ops.two_hop_candidates(links(spark, d)),
@@ -114,13 +161,6 @@ FROM feed""",
         with_clauses(LINKS_SQL, _MUTUAL_SQL) + "SELECT user_id, candidate, score FROM scored",
     ),
     "recommend_followees": Query(
-        lambda spark, d: ops.recommend_followees(links(spark, d), users(spark, d)),
-        with_clauses(LINKS_SQL, USERS_SQL, _MUTUAL_SQL)
-        + """SELECT r.user_id, CAST(r."position" AS INTEGER) AS "position", r.candidate, r.score,
-       u.name, u.profile_url
-FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, candidate)
-        AS "position" FROM scored) r
-JOIN users u ON u.user_id = r.candidate
-WHERE r."position" <= 10""",
+        lambda spark, d: ops.recommend_followees(links(spark, d), users(spark, d)), _RECOMMEND_SQL
     ),
 }

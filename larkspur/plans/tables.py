@@ -97,11 +97,17 @@ POSTS_SQL = """posts AS (
   FROM events)"""
 
 
+#: Files of the events table in one micro-batch.
+FILES_PER_TRIGGER = 16
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table read as a stream."""
+    """The events table, one file or a folder of them, read as a stream in bounded micro-batches."""
     schema = table(spark, sf_dir, "events").schema
     return (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", FILES_PER_TRIGGER)
+        .parquet(f"{sf_dir}/events.parquet*")
     )
 
 
@@ -189,8 +195,8 @@ trace AS (
   FROM keyed)"""
 
 
-def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One XML page per row in ``value``; every fiftieth document is cut off and so malformed."""
+def article_lines(spark: SparkSession, sf_dir: str, malformed: bool = False) -> DataFrame:
+    """One XML page per row in ``value``; with ``malformed``, every fiftieth is cut off."""
     doc = F.col("doc_id")
     extra = (
         F.when(doc % 3 == 0, " see http://ex.com/A?b=c, end ")
@@ -200,20 +206,22 @@ def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.regexp_replace("text", "[\\r\\n]", " "), extra)
     for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         text = F.replace(text, F.lit(raw), F.lit(entity))
-    tail = F.when(doc % 50 == 7, "</Te").otherwise("</Text></Revision></Page>")
+    tail = F.lit("</Text></Revision></Page>")
+    if malformed:
+        tail = F.when(doc % 50 == 7, "</Te").otherwise(tail)
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select(
         doc.alias("doc_id"), F.concat(F.lit("<Page><Revision><Text>"), text, tail).alias("value")
     )
 
 
-# Text of the well-formed pages as an XML reader returns it: entities resolved, lower case.
+# Text of the pages as an XML reader returns it: entities resolved, lower case.
 ARTICLES_SQL = """articles AS (
   SELECT doc_id,
          lower(regexp_replace(text, '[\\r\\n]', ' ', 'g') ||
            CASE doc_id % 3 WHEN 0 THEN ' see http://ex.com/A?b=c, end '
                 WHEN 1 THEN ' <ref name="x">cited</ref> ''tis '
                 ELSE ' plain ' END) AS body
-  FROM documents WHERE doc_id % 50 <> 7)"""
+  FROM documents)"""
 
 
 def with_clauses(*parts: str) -> str:

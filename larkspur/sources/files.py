@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,26 +24,41 @@ def load_csv_upsert(
     schema: str | T.StructType,
     key: str,
     multi_line: bool = False,
+    file_order: Column | None = None,
 ) -> DataFrame:
     """Comma-separated, optionally quoted rows; of rows with one key the last read counts.
 
-    "Last" is by file name, then by position in the file, so it does not depend on how Spark
-    spreads the files over tasks. Positions come from block starts and a counter that ascends within each
-    task. Duplicates are reduced before the shuffle. ``multi_line`` allows line breaks inside
-    quotes, at the price of one task per file.
+    "Last" is by the position in a list of paths; inside a folder by the file's modification time,
+    then by name, numbers in it taken as numbers; then by position in the file. It does not depend
+    on how Spark spreads the files over tasks. ``file_order``, a column over ``_metadata``,
+    replaces time and name. Positions come from block starts and a counter that ascends within
+    each task. Duplicates are reduced before the shuffle. ``multi_line`` allows line breaks
+    inside quotes, at the price of one task per file.
     """
-    rows = spark.read.csv(
-        path, schema=schema, sep=",", quote='"', escape="\\", multiLine=multi_line
-    )
-    columns = rows.columns
-    placed = rows.select(
-        *columns,
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("_place"),
-    )
+    name = F.col("_metadata.file_name")
+    digits = F.transform(F.regexp_extract_all(name, F.lit(r"(\d+)")), lambda d: d.cast("decimal(38,0)"))
+    by_name = F.struct(F.regexp_replace(name, r"\d+", "0"), digits, name)
+    if file_order is None:
+        file_order = F.struct("_metadata.file_modification_time", by_name)
+    parts = []
+    for place, one in enumerate([path] if isinstance(path, str) else path):
+        rows = spark.read.csv(
+            one, schema=schema, sep=",", quote='"', escape="\\", multiLine=multi_line
+        )
+        columns = rows.columns
+        parts.append(
+            rows.select(
+                *columns,
+                F.struct(
+                    F.lit(place).alias("path"),
+                    file_order.alias("file"),
+                    F.col("_metadata.file_path").alias("name"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"),
+                ).alias("_place"),
+            )
+        )
+    placed = reduce(DataFrame.unionByName, parts)
     others = [c for c in columns if c != key]
     return (
         placed.groupBy(key)
@@ -52,19 +68,29 @@ def load_csv_upsert(
 
 
 def read_edges(
-    spark: SparkSession, path: str, sep: str | None = "\t", comments: bool = False
+    spark: SparkSession,
+    path: str,
+    sep: str | None = "\t",
+    comments: bool = False,
+    ids: str = "bigint",
+    dropped: Observation | None = None,
 ) -> DataFrame:
     """(src, dst) from the first two fields of each line.
 
     With ``sep=None`` fields are split at any white space. ``comments`` skips lines starting
-    with ``#``. Lines without two whole numbers are left out.
+    with ``#``. ``ids`` is the type of an id; as ``string``, any text that is not empty is one.
+    Lines without two ids are left out, and counted as ``dropped`` by the observation given.
     """
     lines = spark.read.text(path)
     if comments:
         lines = lines.filter(~F.col("value").startswith("#"))
     parts = F.split(F.trim("value"), r"\s+") if sep is None else F.split("value", f"\\Q{sep}\\E")
-    ids = [F.get(parts, F.lit(i)).try_cast("bigint").alias(c) for i, c in enumerate(("src", "dst"))]
-    return lines.select(*ids).filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    fields = [F.nullif(F.get(parts, F.lit(i)), F.lit("")).try_cast(ids) for i in range(2)]
+    edges = lines.select(fields[0].alias("src"), fields[1].alias("dst"))
+    whole = F.col("src").isNotNull() & F.col("dst").isNotNull()
+    if dropped is not None:
+        edges = edges.observe(dropped, F.count_if(~whole).alias("dropped"))
+    return edges.filter(whole)
 
 
 def read_ranks(spark: SparkSession, path: str) -> DataFrame:
@@ -79,20 +105,28 @@ def read_grams(spark: SparkSession, path: str) -> DataFrame:
     return grams.select(gram.alias("gram"), F.size(F.split(gram, " ")).alias("n"), "cnt")
 
 
-def parse_articles(lines: DataFrame, column: str = "value") -> DataFrame:
+def parse_articles(
+    lines: DataFrame, column: str = "value", skipped: Observation | None = None
+) -> DataFrame:
     """(text): the lower-cased body of each one-line XML page.
 
-    Lines that are not well formed, or lack a revision or text, are left out. They are dropped
-    by generating rows, since a filter on the parsed text would parse every line twice.
+    Lines that are not well formed, or lack a revision or text, are left out, and counted as
+    ``skipped`` by the observation given. They are dropped by generating rows, since a filter on
+    the parsed text would parse every line twice.
     """
     page = F.from_xml(F.lower(column), ARTICLE_SCHEMA, {"mode": "PERMISSIVE"})
     body = F.array_compact(F.array(page["revision"]["text"]))
-    return lines.select(F.explode(body).alias("text"))
+    bodies = lines.select(body.alias("_body"))
+    if skipped is not None:
+        bodies = bodies.observe(skipped, F.count_if(F.size("_body") == 0).alias("skipped"))
+    return bodies.select(F.explode("_body").alias("text"))
 
 
-def read_xml_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_xml_lines(
+    spark: SparkSession, path: str, skipped: Observation | None = None
+) -> DataFrame:
     """(text) of one XML page per line."""
-    return parse_articles(spark.read.text(path))
+    return parse_articles(spark.read.text(path), skipped=skipped)
 
 
 def read_trace(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:

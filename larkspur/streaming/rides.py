@@ -7,7 +7,7 @@ size of a micro-batch is bounded at the sources (files, offsets or bytes per tri
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from typing import Any
 
 import pandas as pd
@@ -22,8 +22,11 @@ from pyspark.sql.streaming import (
 from larkspur.functions.dispatch import Board, Driver, Move
 from larkspur.operators.rides import effective_events, split_trace
 from larkspur.session import scratch_path, ship_package
+from larkspur.sources.messages import encode_messages
 
 LOCATIONS, EVENTS = "locations", "events"
+#: Run over what is there, then stop.
+AVAILABLE = {"availableNow": True}
 MATCH = "seq bigint, client_id bigint, driver_id bigint, score double, price_factor double"
 _DRIVER = "latitude double, longitude double, gender string, rating double, salary double, ts bigint, seq bigint"
 _MOVE = "latitude double, longitude double, ts bigint, seq bigint"
@@ -60,16 +63,23 @@ class MatchProcessor(StatefulProcessor):
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
         board = Board(self.consume, self.location_wins)
-        board.restore(
-            {driver: Driver(*value) for (driver,), value in self.drivers.iterator()},
-            {driver: Move(*value) for (driver,), value in self.moves.iterator()},
-        )
+        batch = pd.concat(list(rows)).sort_values(["ts", "seq"], kind="stable")
+        if (batch["action"] == "request").any():
+            board.restore(
+                {driver: Driver(*value) for (driver,), value in self.drivers.iterator()},
+                {driver: Move(*value) for (driver,), value in self.moves.iterator()},
+            )
+        else:  # without a request only the drivers that rows name can change
+            named = {(int(party),) for party in batch["party"].unique()}
+            board.restore(
+                {k[0]: Driver(*self.drivers.getValue(k)) for k in named if self.drivers.containsKey(k)},
+                {k[0]: Move(*self.moves.getValue(k)) for k in named if self.moves.containsKey(k)},
+            )
         if self.last.exists():
             board.previous = self.last.get()[0]
         drivers, moves, previous = dict(board.drivers), dict(board.moves), board.previous
 
         matches = []
-        batch = pd.concat(list(rows)).sort_values(["ts", "seq"], kind="stable")
         for row in batch.itertuples(index=False):
             if row.action == "put":
                 board.put(
@@ -148,37 +158,52 @@ def match_sink(
     surge: bool = False,
     checkpoint: str | None = None,
     format: str = "parquet",
+    trigger: Mapping[str, Any] = AVAILABLE,
+    messages: bool = False,
     **options: str,
 ) -> StreamingQuery:
-    """Write matches as they arise: client, driver and, for surge matching, the price factor."""
+    """Write matches as they arise: client, driver and, for surge matching, the price factor.
+
+    ``trigger`` is any of Spark's (``{"processingTime": "1 second"}`` runs until stopped).
+    ``messages`` writes (key, value) rows, the key being the client, for message sinks.
+    """
     columns = ["client_id", "driver_id"] + (["price_factor"] if surge else [])
+    rows = matches.select("seq", *columns)
     return (
-        matches.select("seq", *columns)
+        (encode_messages(rows, "client_id") if messages else rows)
         .writeStream.format(format)
         .option("checkpointLocation", checkpoint or scratch_path(matches.sparkSession, "stream"))
         .options(**options)
         .outputMode("append")
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start(path)
     )
 
 
 def split_stream(
-    trace: DataFrame, locations_path: str, events_path: str, checkpoint: str | None = None
+    trace: DataFrame,
+    locations_path: str,
+    events_path: str,
+    checkpoint: str | None = None,
+    trigger: Mapping[str, Any] = AVAILABLE,
 ) -> StreamingQuery:
     """Route a stream's location updates and other rows to two tables.
 
+    A micro-batch is kept while its two writes run, so its source is read once.
+
     A micro-batch that is run again after a failure overwrites its own folder, so no row is
     written twice.
     """
 
     def route(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
         for part, path in zip(split_trace(batch), (locations_path, events_path)):
             part.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.unpersist()
 
     return (
         trace.writeStream.foreachBatch(route)
         .option("checkpointLocation", checkpoint or scratch_path(trace.sparkSession, "stream"))
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )

@@ -6,13 +6,17 @@ only the keys it changed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+from typing import Any
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from larkspur.operators.kvlog import kv_latest
 from larkspur.operators.rides import driver_history_ends
 from larkspur.session import scratch_path
+from larkspur.streaming.rides import AVAILABLE
 
 
 def kv_latest_stream(ops: DataFrame) -> DataFrame:
@@ -27,7 +31,10 @@ def driver_state_stream(trace: DataFrame) -> DataFrame:
 
 
 def changes_sink(
-    aggregate: DataFrame, path: str, checkpoint: str | None = None
+    aggregate: DataFrame,
+    path: str,
+    checkpoint: str | None = None,
+    trigger: Mapping[str, Any] = AVAILABLE,
 ) -> StreamingQuery:
     """Write the changed rows of each micro-batch to their own folder, which a rerun replaces."""
 
@@ -38,7 +45,7 @@ def changes_sink(
         aggregate.writeStream.outputMode("update")
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint or scratch_path(aggregate.sparkSession, "stream"))
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -48,3 +55,22 @@ def current_rows(changes: DataFrame, *keys: str) -> DataFrame:
     others = [c for c in changes.columns if c not in (*keys, "batch")]
     newest = F.max_by(F.struct(*others), F.col("batch")).alias("_row")
     return changes.groupBy(*keys).agg(newest).select(*keys, *(f"_row.{c}" for c in others))
+
+
+def compact_changes(changes: DataFrame, base: str, *keys: str) -> None:
+    """Write the rows valid after all ``changes`` as a base table, as of their last micro-batch.
+
+    Readers then need the base and later micro-batches alone (``rows_since``), and the folders of
+    earlier ones can be dropped. Bases do not overwrite each other; the newest counts.
+    """
+    last = changes.agg(F.max("batch")).first()[0]
+    if last is not None:
+        current_rows(changes, *keys).write.mode("overwrite").parquet(f"{base}/batch={last}")
+
+
+def rows_since(spark: SparkSession, base: str, changes: DataFrame, *keys: str) -> DataFrame:
+    """Rows now valid: those of the newest base, replaced by changes of later micro-batches."""
+    stored = spark.read.parquet(base)
+    last = stored.agg(F.max("batch")).first()[0]
+    later = changes.filter(F.col("batch") > last)
+    return current_rows(stored.filter(F.col("batch") == last).unionByName(later), *keys)

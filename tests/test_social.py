@@ -79,3 +79,26 @@ def test_unknown_candidates_drop_after_the_cut(spark):
     assert [(r.user_id, r.candidate, r.position) for r in top if r.user_id == 1] == [(1, 3, 1), (1, 4, 2)]
     top = ops.recommend_followees(links(spark, [(1, 2), (2, 0), (2, 3), (2, 4)]), users(spark), k=2)
     assert [(r.candidate, r.position) for r in top.collect()] == [(3, 2)]
+
+
+def test_id_lists_prune_before_ranking(spark):
+    from tests.conftest import plan_text
+
+    pairs = links(spark, [(1, 7), (1, 8), (2, 7), (7, 9), (8, 9), (9, 1)])
+    posts = spark.createDataFrame(
+        [(7, 1, "2020-01-01 00:00:00", "a"), (5, 2, "2020-01-01 00:00:00", "b")],
+        "uid bigint, pid bigint, timestamp string, content string",
+    )
+    ids = spark.createDataFrame([(1,)], "user_id bigint")
+    feed = ops.timeline_posts(pairs, posts, ids)
+    assert [(r.user_id, r.pid) for r in feed.collect()] == [(1, 1)]
+    plan = plan_text(feed)
+    # of plans printed top down, what runs first stands last
+    assert plan.rindex("LeftSemi") > plan.index("Window")
+    assert [tuple(r) for r in ops.mutual_count(pairs, ids).collect()] == [(1, 9, 2)]
+
+
+def test_followers_are_numbered_in_page_order(spark):
+    df = links(spark, [(1, 7), (4, 7), (3, 7), (1, 8)])
+    got = {(r.user_id, r.profile_url, r.position) for r in ops.numbered_followers(df, users(spark)).collect()}
+    assert got == {(7, "u/0", 1), (7, "u/1", 2), (7, "u/3", 3), (8, "u/1", 1)}

@@ -1,5 +1,9 @@
+import os
+
+from pyspark.sql import Observation
+
 from larkspur.sources import files
-from larkspur.sources.sinks import write_tsv
+from larkspur.sources.sinks import read_tsv, write_tsv
 
 SCHEMA = "track_id STRING, title STRING, duration DOUBLE"
 
@@ -48,3 +52,59 @@ def test_jdbc_reads_are_split_into_ranges():
     options = files.jdbc_options("songs", {"url": "jdbc:x"}, ("id", 0, 100, 8))
     assert options["dbtable"] == "songs" and options["numPartitions"] == "8"
     assert (options["partitionColumn"], options["lowerBound"], options["upperBound"]) == ("id", "0", "100")
+
+
+def test_tsv_keeps_fields_as_they_are(spark, tmp_path):
+    rows = [(" a ", "x\ty", 1), ('"q"', "", 2), (None, "back\\t\nline", None), ("z", "\\", 3)]
+    df = spark.createDataFrame(rows, "a string, b string, n int")
+    write_tsv(df, str(tmp_path / "t"))
+    lines = {r.value for r in spark.read.text(str(tmp_path / "t")).collect()}
+    assert " a \tx\\ty\t1" in lines and '"q"\t\t2' in lines
+    back = {tuple(r) for r in read_tsv(spark, str(tmp_path / "t"), "a string, b string, n int").collect()}
+    assert back == {tuple(v or None if isinstance(v, str) else v for v in r) for r in rows}
+
+
+def test_csv_order_of_paths_and_numbered_files(spark, tmp_path):
+    for name, title in (("b.csv", "first"), ("a.csv", "second")):
+        (tmp_path / name).write_text(f"1,{title},1\n")
+    paths = [str(tmp_path / "b.csv"), str(tmp_path / "a.csv")]
+    assert files.load_csv_upsert(spark, paths, SCHEMA, "track_id").first().title == "second"
+    assert files.load_csv_upsert(spark, paths[::-1], SCHEMA, "track_id").first().title == "first"
+    folder = tmp_path / "loads"
+    folder.mkdir()
+    for n in (9, 10):
+        (folder / f"load-{n}.csv").write_text(f"1,load {n},1\n")
+        os.utime(folder / f"load-{n}.csv", (1000, 1000))
+    assert files.load_csv_upsert(spark, str(folder), SCHEMA, "track_id").first().title == "load 10"
+    os.utime(folder / "load-9.csv", (2000, 2000))
+    assert files.load_csv_upsert(spark, str(folder), SCHEMA, "track_id").first().title == "load 9"
+
+
+def test_text_ids_and_dropped_lines(spark, tmp_path):
+    (tmp_path / "e").write_text("ann\tbob\nonly\n7\t8\n\tx\n")
+    dropped = Observation("dropped")
+    edges = files.read_edges(spark, str(tmp_path / "e"), ids="string", dropped=dropped)
+    assert {tuple(r) for r in edges.collect()} == {("ann", "bob"), ("7", "8")}
+    assert dropped.get["dropped"] == 2
+
+
+def test_skipped_pages_are_counted(spark, tmp_path):
+    page = "<Page><Revision><Text>Some text</Text></Revision></Page>"
+    (tmp_path / "x").write_text(f"{page}\n{page[:-9]}\nplain\n{page}\n")
+    skipped = Observation("skipped")
+    assert files.read_xml_lines(spark, str(tmp_path / "x"), skipped).count() == 2
+    rows = files.read_xml_lines(spark, str(tmp_path / "x"), obs := Observation("again")).collect()
+    assert len(rows) == 2 and obs.get["skipped"] == 2
+
+
+def test_messages(spark):
+    from larkspur.sources.messages import decode_messages, encode_messages
+
+    schema = "seq bigint, name string"
+    df = spark.createDataFrame([(1, "a"), (2, None)], schema)
+    sent = encode_messages(df, "seq")
+    assert {r.key for r in sent.collect()} == {"1", "2"}
+    odd = spark.createDataFrame([("3", "{broken"), ("4", None), ("5", '{"seq": "x"}')], "key string, value string")
+    malformed = Observation("malformed")
+    back = decode_messages(sent.unionByName(odd), schema, malformed).collect()
+    assert {tuple(r) for r in back} == {(1, "a"), (2, None)} and malformed.get["malformed"] == 3

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 
@@ -101,3 +102,64 @@ def test_latest_values_stream_equals_batch(spark, tmp_path):
     batch = kv_latest(spark.read.schema(schema).json(str(tmp_path / "in")))
     got = table_of(spark, kv_latest_stream(stream), tmp_path, "key").select("key", "value", "ts")
     assert set(got.collect()) == set(batch.select("key", "value", "ts").collect())
+
+
+STREAMS = {
+    "kv_latest_stream": "kv_latest", "driver_state_stream": "driver_state", "match_reuse_stream": "match_reuse",
+    "match_sink": "match_consume", "match_sink_surge": "match_surge", "stream_in": None,
+}
+
+
+@pytest.mark.parametrize("name", sorted(STREAMS))
+def test_stream_entries_on_a_table_of_many_files(spark, tmp_path, monkeypatch, name):
+    """A folder of part files, read in several micro-batches, gives the batch answer."""
+    from __spark_entry__ import queries
+    from larkspur.plans import tables
+
+    monkeypatch.setattr(tables, "FILES_PER_TRIGGER", 1)
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    folder = tmp_path / "sf" / "events.parquet"
+    folder.mkdir(parents=True)
+    for k in range(3):
+        part = events.filter(f"event_id >= {k * 400} and event_id < {(k + 1) * 400}").coalesce(1)
+        part.write.parquet(str(tmp_path / f"part{k}"))
+        (file,) = (tmp_path / f"part{k}").glob("*.parquet")
+        (folder / f"part-{k}.parquet").write_bytes(file.read_bytes())
+        os.utime(folder / f"part-{k}.parquet", (1000 + k, 1000 + k))
+    got = queries()[name](spark, str(tmp_path / "sf"))
+    if STREAMS[name]:
+        want = queries()[STREAMS[name]](spark, str(tmp_path / "sf")).select(*got.columns)
+    else:
+        want = queries()[name](spark, "/root/testdata/sf0.001")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_messages_and_compaction(spark, tmp_path):
+    from larkspur.sources.messages import decode_messages
+    from larkspur.streaming.tables import compact_changes, rows_since
+
+    events = make_events(n=200)
+    for i in range(2):
+        write(tmp_path / "in", f"{i}.json", events[i * 100:(i + 1) * 100])
+
+    def tagged():
+        stream = read_trace(spark, str(tmp_path / "in"), stream=True, maxFilesPerTrigger="1")
+        return ride_stream(*split_trace(stream))
+
+    plain, keyed = str(tmp_path / "plain"), str(tmp_path / "keyed")
+    match_sink(match_stream(tagged()), plain).awaitTermination()
+    match_sink(match_stream(tagged()), keyed, format="json", messages=True).awaitTermination()
+    sent = spark.read.schema("key string, value string").json(keyed)
+    back = decode_messages(sent, "seq bigint, client_id bigint, driver_id bigint")
+    assert set(back.collect()) == set(spark.read.parquet(plain).collect())
+    query = match_sink(match_stream(tagged()), str(tmp_path / "on"), trigger={"processingTime": "1 second"})
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+
+    changes = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (1, "c", 1), (3, "d", 2)], "k int, v string, batch int")
+    base = str(tmp_path / "base")
+    compact_changes(changes.filter("batch < 2"), base, "k")
+    assert set(rows_since(spark, base, changes, "k").collect()) == set(current_rows(changes, "k").collect())
