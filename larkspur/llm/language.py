@@ -216,7 +216,8 @@ def fit(docs: DataFrame, order: int = ORDER, bound: int = LEARN_ROWS) -> Identif
     # Spark cuts each task's rows to the bound ahead of the shuffle, so no language meets whole
     order_by = F.row_number().over(Window.partitionBy("lang").orderBy("__draw"))
     last = ids.withColumn("k", order_by).where(F.col("k") <= bound).groupBy("lang").agg(F.max("__draw").alias("__last"))
-    chosen = known.withColumn("__draw", draw).join(last, "lang").where("__draw <= __last")
+    # one row a language, and every task is sent a model of each anyway; the texts stay in place
+    chosen = known.withColumn("__draw", draw).join(F.broadcast(last), "lang").where("__draw <= __last")
     rows = chosen.select("lang", "text", (F.pmod("__draw", F.lit(CALIBRATE)) == 0).alias("held"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
