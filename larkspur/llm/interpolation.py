@@ -34,9 +34,9 @@ ORDER = 2
 FOLDS = 10
 ALPHA = 0.1
 #: Bytes of words in a block.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 #: Hashes that a range gathers, about.
-RANGE_KEYS = 2_000_000
+RANGE_KEYS = 1_000_000
 ROUNDS = 12
 LEARN, TUNE, TEST = 0, 1, 2
 _END = np.uint64(0xD1B54A32D192ED03)
