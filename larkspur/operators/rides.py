@@ -308,20 +308,25 @@ def match_reuse(
 ) -> DataFrame:
     """Best driver per request, drivers staying available: (seq, client_id, driver_id, score).
 
-    Scores must be positive; equal ones go to the driver first in text order. The highest score is
-    a hash aggregate right behind the join, whose partitioning it shares; drivers are looked up in
-    a second pass that keeps only the pairs with that score. Pairs are neither shuffled nor sorted.
+    Scores must be positive; equal ones go to the driver first in text order. Spark sorts the pairs
+    of a task by request for this minimum, since a text has no place in a hash buffer, and shuffles
+    one row a request. Taking the highest score by hash and looking up its driver in a second pass
+    over the pairs was measured at 1.7 times the time.
     """
-    requests, intervals = _requests_and_intervals(trace, location_wins, target_rows, slot_width)
-    request = ["block_id", PIECE, "seq", "client_id"]
-    scored = scored_candidates(_present(requests, intervals)).filter(F.col("score") > 0)
-    highest = scored.groupBy(*request).agg(F.max("score").alias("highest"))
-    wanted = null_safe_join(requests, highest, request)
-    best = scored_candidates(_present(wanted, intervals)).filter(F.col("score") == F.col("highest"))
+    scored = scored_candidates(
+        request_driver_candidates(trace, location_wins, target_rows, slot_width)
+    )
+    best = F.min(F.struct((-F.col("score")).alias("neg"), F.col("driver_id").cast("string").alias("d")))
     return (
-        best.groupBy("seq", "client_id")
-        .agg(F.min(F.col("driver_id").cast("string")).alias("_first"), F.max("score").alias("score"))
-        .select("seq", "client_id", F.col("_first").cast("bigint").alias("driver_id"), "score")
+        scored.filter(F.col("score") > 0)
+        .groupBy("seq", "client_id")
+        .agg(best.alias("_best"))
+        .select(
+            "seq",
+            "client_id",
+            F.col("_best.d").cast("bigint").alias("driver_id"),
+            (-F.col("_best.neg")).alias("score"),
+        )
     )
 
 

@@ -106,12 +106,3 @@ def test_drivers_that_never_return_take_a_few_rounds(spark, monkeypatch):
     assert {r.seq: r.driver_id for r in rows} == {r["seq"]: r["driver_id"] for r in expected if r["driver_id"]}
     assert len(ran) <= dispatching.REPAIRS + 2 and ran[-1] == {"chained": True}
     assert rides._pieces(frame(spark, events), 30, 1, 2).select(PIECE).distinct().count() >= 20
-
-
-def test_best_drivers_are_found_without_sorting_pairs(spark):
-    from tests.conftest import plan_text
-
-    plan = plan_text(rides.match_reuse(frame(spark, make_events())))
-    assert "min(cast(driver_id" in plan
-    head = plan[: plan.index("Join")]
-    assert head.count("SortAggregate") <= 2 and "max(score" in plan
