@@ -147,8 +147,11 @@ def scan(text: str | None) -> list[tuple[int, int, int]]:
             if kind.passes(match):
                 spans.append((start, match.end(), number))
     number = next(k for k, kind in enumerate(KINDS) if kind.name == "hex")
+    shift = seen = 0  # bytes ahead of code points, up to the byte seen; each byte is read once
     for start, end in _hex_runs(raw):
-        shift = start - len(raw[:start].decode("utf-8", "surrogatepass")) if len(raw) != len(text) else 0
+        if len(raw) != len(text):
+            shift += start - seen - len(raw[seen:start].decode("utf-8", "surrogatepass"))
+            seen = start
         match = KINDS[number].pattern.match(text, start - shift, end - shift)
         if match and KINDS[number].passes(match):
             spans.append((match.start(), match.end(), number))
