@@ -11,8 +11,9 @@ alone and so fall alike in every copy of a passage. Pieces have 5 to 23 words, 9
 fewer than 9 shingles any difference brings the similarity below 0.8, so pieces are linked when
 equal, which needs no bands.
 
-Linked paragraphs form components; a paragraph repeats when its component spans documents. Repeated
-paragraphs that touch are merged to passages. Of each passage the smallest document keeps its copy.
+Linked paragraphs form components; a paragraph repeats when its component spans documents. The
+smallest document of a component keeps its copy, and so a word goes only where no paragraph around
+it is kept. Repeated paragraphs that touch are merged to passages.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ RADIUS, LONG_PIECE = 4, 24
 PASSAGE_WORDS = 20
 #: Paragraphs compared in one task; more are cut into cells.
 CELL_ROWS = 256
+#: Rows without an id are named by a hash of their text, from this number on.
+UNNAMED = 1 << 62
 #: Sorted keys sent to every task while they are so few (8 bytes each); beyond, a join does it.
 SENT_KEYS = 500_000
 
@@ -149,7 +152,8 @@ def paragraphs(docs: DataFrame) -> DataFrame:
             "bands": bands,
         }
 
-    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1).cast("long")).alias("doc_id"), "text")
+    own = F.pmod(F.xxhash64("text"), F.lit(UNNAMED)) + F.lit(UNNAMED)
+    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), own).alias("doc_id"), "text")
     return map_texts(source, "doc long, start int, n int, key long, bands array<long>", work)
 
 
@@ -287,14 +291,17 @@ def similar(clusters: DataFrame, shingles: DataFrame, lines: DataFrame, similari
 def repeated_passages(
     docs: DataFrame, similarity: float = SIMILARITY, passage_words: int = PASSAGE_WORDS
 ) -> DataFrame:
-    """(doc_id, start_word, end_word, n_words, class_id, removed): repeated passages of documents.
-
-    Words are counted from 0 over the whole text, the end is exclusive. ``class_id`` is the smallest
-    doc_id that holds a part of the passage, itself included; ``removed`` is false there and true
-    in all others. Passages start at ``passage_words``; a passage pasted into other text is found
+    """(doc_id, start_word, end_word, n_words, class_id, removed, removed_spans): repeated passages.
+
+    Words are counted from 0 over the whole text, ends are exclusive. ``class_id`` is the smallest
+    doc_id that holds a part of the passage, itself included. ``removed_spans`` are the words to
+    remove, as "start:end,...": those in repeated paragraphs of which a smaller doc_id keeps a copy,
+    but for words that also stand in a paragraph kept here. So every paragraph is kept once, also
+    where a passage meets one class at its head and another at its tail. ``removed`` tells whether
+    there are any. Passages start at ``passage_words``; a passage pasted into other text is found
     from about 30 words on. Repeats inside one document alone do not count. Null and empty texts
-    have no paragraphs; rows without an id count as one document with the id -1; repeated rows
-    with the same id are one document.
+    have no paragraphs. Repeated rows with the same id are one document; rows without an id are
+    named by a hash of their text (from UNNAMED on), so equal ones are one document too.
     """
     prepared(docs.sparkSession)
     found = written(paragraphs(docs), "paragraphs")
@@ -325,32 +332,61 @@ def repeated_passages(
     repeated = fine.join(shared_keys(fine), "key").select("doc", "start", "n", "first").unionByName(
         coarse.join(linked.unionByName(alone), "key").select("doc", "start", "n", "first")
     )
-    return _merged(repeated.distinct(), passage_words)
+    return _merged(repeated, passage_words)
 
 
 def _merged(repeated: DataFrame, passage_words: int) -> DataFrame:
-    by_place = Window.partitionBy("doc").orderBy("start", "end")
-    reach = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
-    runs = (
-        repeated.withColumn("end", F.col("start") + F.col("n"))
-        .withColumn("open", F.when(F.col("start") <= reach, 0).otherwise(1))
-        .withColumn("run", F.sum("open").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("doc", "run")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("first").alias("first"))
+    """Passages of the repeated paragraphs (doc, start, n, first); repeated rows do not matter.
+
+    A sweep over the places where paragraphs start and end counts how many cover the words up to
+    the next place, and how many of these are kept. Places are summed before the shuffle.
+    """
+    own = F.when(F.col("doc") == F.col("first"), 1).otherwise(0)
+    start, end = F.col("start"), F.col("start") + F.col("n")
+    nobody = F.lit(None).cast("long")
+    marks = [
+        F.struct(start.alias("at"), F.lit(1).alias("cover"), own.alias("own"), F.col("first").alias("first")),
+        F.struct(end.alias("at"), F.lit(-1).alias("cover"), (-own).alias("own"), nobody.alias("first")),
+    ]
+    places = repeated.select("doc", F.inline(F.array(*marks))).groupBy("doc", "at").agg(
+        F.sum("cover").alias("cover"), F.sum("own").alias("own"), F.min("first").alias("first")
+    )
+    by_place = Window.partitionBy("doc").orderBy("at")
+    upto = by_place.rowsBetween(Window.unboundedPreceding, 0)
+    stretches = (
+        places.withColumn("covered", F.sum("cover").over(upto))
+        .withColumn("gone", (F.sum("own").over(upto) == 0) & (F.col("covered") > 0))
+        .withColumn("until", F.lead("at").over(by_place))
+        .withColumn("run", F.sum(F.when(F.col("covered") == F.col("cover"), 1).otherwise(0)).over(upto))
+        .withColumn("turn", F.when(F.col("gone") == F.lag("gone").over(by_place), 0).otherwise(1))
+        .withColumn("part", F.sum("turn").over(upto))
+        .where("covered > 0")
     )
+    parts = stretches.groupBy("doc", "run", "part").agg(
+        F.min("at").cast("long").alias("start"), F.max("until").cast("long").alias("end"),
+        F.min("first").alias("first"), F.first("gone").alias("gone"),
+    )
+    # a list is as long as its document at most
+    spans = F.array_sort(F.collect_list(F.when(F.col("gone"), F.struct("start", "end"))))
+    spelled = F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"])))
+    runs = parts.groupBy("doc", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"),
+        F.min("first").alias("first"), spelled.alias("removed_spans"),
+    )
     n_words = F.col("end") - F.col("start")
     return runs.where(n_words >= passage_words).select(
         F.col("doc").alias("doc_id"),
-        F.col("start").cast("long").alias("start_word"),
-        F.col("end").cast("long").alias("end_word"),
-        n_words.cast("long").alias("n_words"),
+        F.col("start").alias("start_word"),
+        F.col("end").alias("end_word"),
+        n_words.alias("n_words"),
         F.col("first").alias("class_id"),
-        (F.col("doc") != F.col("first")).alias("removed"),
+        (F.col("removed_spans") != "").alias("removed"),
+        "removed_spans",
     )
 
 
 def op3_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated passages of all documents with their class."""
+    """Repeated passages of all documents with their class and the words to remove."""
     return repeated_passages(table(prepared(spark), sf_dir, "documents").select("doc_id", "text"))
 
 

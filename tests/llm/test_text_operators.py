@@ -320,6 +320,81 @@ def test_pasted_passages_and_edited_lines(spark):
     assert {r.doc_id for r in paragraphs.repeated_passages(docs).collect()} == pasted | edited
 
 
+def left_over(rows, found):
+    """Texts as word lists without the spans to remove."""
+    gone = defaultdict(set)
+    for r in found:
+        for span in filter(None, r.removed_spans.split(",")):
+            start, end = map(int, span.split(":"))
+            assert r.start_word <= start < end <= r.end_word
+            gone[r.doc_id].update(range(start, end))
+        assert r.removed == bool(r.removed_spans) and (r.doc_id != r.class_id or not r.removed)
+    return {i: [w for k, w in enumerate(words) if k not in gone[i]] for i, words in rows}
+
+
+def test_every_passage_is_kept_once(spark):
+    rng = random.Random(4)
+    passages = [[f"p{p}x{rng.random()}" for _ in range(60)] for p in range(9)]
+    rows = []
+    for i in range(40):  # neighbouring passages touch, and their first documents differ
+        chosen = rng.sample(range(9), 3)
+        tail = [f"d{i}x{k}" for k in range(30)]
+        rows.append((i, [*tail, *(w for p in chosen for w in passages[p]), *tail]))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    left = left_over(rows, paragraphs.repeated_passages(docs).collect())
+    middle = {w: 0 for p in passages for w in p[24:36]}
+    for words in left.values():
+        for w in words:
+            if w in middle:
+                middle[w] += 1
+    assert set(middle.values()) == {1}
+    for i, words in rows:  # what is a document's own stays
+        assert [w for w in left[i] if w.startswith("d")] == [w for w in words if w.startswith("d")]
+
+
+def test_sweep_of_paragraphs_against_single_words(spark):
+    rng = random.Random(8)
+    rows = [
+        (d, s, rng.randint(5, 23), rng.randint(0, d)) for d in range(6) for s in rng.sample(range(150), 9) for _ in range(2)
+    ]
+    rows += rows[:20]
+    made = paragraphs._merged(spark.createDataFrame(rows, "doc long, start int, n int, first long"), 12).collect()
+    want = set()
+    for d in range(6):
+        own, other, least = set(), set(), {}
+        for _, s, n, first in (r for r in rows if r[0] == d):
+            (own if first == d else other).update(range(s, s + n))
+            least[s] = min(first, least.get(s, first))
+        starts = {s for _, s, *_ in (r for r in rows if r[0] == d)}
+        at = None
+        for k in range(200):
+            if k in own | other:
+                at = k if at is None else at
+            elif at is not None:
+                gone = [x for x in range(at, k) if x not in own]
+                spans, firsts = [], min(least[s] for s in starts if at <= s < k)
+                for x in gone:
+                    if spans and spans[-1][1] == x:
+                        spans[-1][1] = x + 1
+                    else:
+                        spans.append([x, x + 1])
+                if k - at >= 12:
+                    text = ",".join(f"{a}:{b}" for a, b in spans)
+                    want.add((d, at, k, k - at, firsts, bool(spans), text))
+                at = None
+    assert {tuple(r) for r in made} == want
+
+
+def test_rows_without_an_id(spark):
+    passage, other = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    docs = spark.createDataFrame(
+        [(None, passage), (None, f"{other} end of it"), (None, passage), (3, passage), (4, f"well then {other}")],
+        "doc_id long, text string",
+    )
+    found = {(r.doc_id if r.doc_id < paragraphs.UNNAMED else None, r.class_id, r.removed) for r in paragraphs.repeated_passages(docs).collect()}
+    assert found == {(None, 3, True), (3, 3, False), (None, 4, True), (4, 4, False)}
+
+
 def test_large_clusters_and_many_keys_take_the_other_ways(spark, monkeypatch):
     rng = random.Random(2)
     words = [f"t{k}" for k in range(60)]
