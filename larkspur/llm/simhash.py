@@ -11,7 +11,7 @@ their shared positional bytes, those below four are dropped, the rest verified b
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -195,7 +195,11 @@ def groups(prints: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     smallest such; of all where no document of the group has an id).
     """
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = components(near_fingerprints(nodes.select("fp"), distance))
+    return named(nodes, components(near_fingerprints(nodes.select("fp"), distance)))
+
+
+def named(nodes: DataFrame, linked: DataFrame) -> DataFrame:
+    """(fp, component_id, first) of all ``nodes`` (fp, least) grouped by ``linked`` (node, component)."""
     own = F.struct(F.col("least").isNull().alias("unnamed"), F.col("least").alias("id"), F.col("fp").alias("first"))
     named = linked.withColumnRenamed("node", "fp").join(nodes, "fp").withColumn("own", own)
     best = named.groupBy("component").agg(F.min("own").alias("best"))
@@ -216,15 +220,18 @@ def deduplicated(docs: DataFrame, distance: int = MAX_DISTANCE, width: int = 4,
     """
     prepared(docs.sparkSession)
     prints = written(simhash(docs, width, seed), "fingerprints")
-    keepers = groups(prints, distance).where("fp = first").select(
-        F.col("fp").alias("__fp"), F.col("component_id").alias("__id")
-    )
 
-    def work(batch: pa.RecordBatch) -> dict[str, object]:
+    def again(batch: pa.RecordBatch) -> np.ndarray:
         hashes = [shingle_hashes(t, width, seed) for t in batch.column("text").to_pylist()]
-        return {"__print": fingerprints(hashes).view(np.int64)}
+        return fingerprints(hashes).view(np.int64)
+
+    return first_rows(docs, groups(prints, distance), again)
+
 
-    own = add_columns(docs, "__print long", work)
+def first_rows(docs: DataFrame, found: DataFrame, again: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """One row of ``docs`` for each group of ``found``; ``again`` gives the fingerprints of a batch."""
+    keepers = found.where("fp = first").select(F.col("fp").alias("__fp"), F.col("component_id").alias("__id"))
+    own = add_columns(docs, "__print long", lambda batch: {"__print": again(batch)})
     same = (F.col("__print") == F.col("__fp")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
     once = F.row_number().over(Window.partitionBy("__fp", "__id").orderBy(F.lit(0)))
     kept = own.join(keepers, same).withColumn("__once", once).where("__once = 1")

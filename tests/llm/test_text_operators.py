@@ -19,6 +19,7 @@ from larkspur.llm import (
     language,
     lengths,
     mixing,
+    neardup,
     paragraphs,
     quality,
     rules,
@@ -286,6 +287,75 @@ def test_components_of_a_long_chain(spark):
     assert local_roots(5, np.array([3, 1]), np.array([4, 3])).tolist() == [0, 1, 2, 1, 1]
 
 
+# the pipeline's near-duplicates
+
+
+def brute_groups(rows, similarity=0.8, width=5):
+    """Groups by exact Jaccard similarity of word shingles, over all pairs; and those pairs with it."""
+    sets = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
+    alike, group = {}, {i: i for i in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        whole = len(sets[a]) + len(sets[b]) - both
+        if both >= similarity * whole:
+            alike[a, b] = both / whole if whole else 1.0
+    changed = True
+    while changed:
+        changed = False
+        for a, b in alike:
+            low = min(group[a], group[b])
+            changed |= group[a] != low or group[b] != low
+            group[a] = group[b] = low
+    return group, alike
+
+
+def near_copies():
+    """Near copies at 0.8 to 0.97, chains of them, pairs just below 0.8, short and empty texts."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    texts = []
+    for edits in (2, 4, 6, 8, 9, 10, 11, 12, 14):
+        for _ in range(4):
+            base = [word() for _ in range(400)]
+            texts.append(base)
+            for step in range(3):
+                base = list(base) if step else list(texts[-1])
+                for at in rng.sample(range(400), edits):
+                    base[at] = word()
+                texts.append(base)
+    short = [word() for _ in range(40)]
+    texts += [short, [*short, word()], short[:4], short[:4], short[:3], [], []]
+    rng.shuffle(texts)
+    return [(i, " ".join(w)) for i, w in enumerate(texts)]
+
+
+@pytest.mark.parametrize("cell_rows", [3, 256])
+def test_pipeline_drops_near_duplicates_by_jaccard(spark, real, cell_rows):
+    for rows in (near_copies(), [(i, t) for i, t, *_ in real]):
+        group, alike = brute_groups(rows)
+        assert any(j < 0.85 for j in alike.values())
+        docs = spark.createDataFrame([*rows, *rows[:9]], "doc_id long, text string")
+        made = neardup.deduplicated(docs, cell_rows=cell_rows)
+        assert sorted(r.doc_id for r in made.collect()) == sorted(set(group.values()))
+
+
+def test_the_pipeline_stage_is_the_jaccard_one(spark, real):
+    docs = spark.createDataFrame([(i, t) for i, t, *_ in real], "doc_id long, text string")
+    after = {r.doc_id for r in dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, SF).collect()}
+    assert after == set(brute_groups([(i, t) for i, t, *_ in real])[0].values())
+
+
+def test_many_shingle_sets_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SENT_KEYS", 3)
+    rows = near_copies()
+    docs = spark.createDataFrame([*rows, (None, rows[0][1]), (None, "no such text here"), (None, None)], "doc_id long, text string")
+    made = sorted((r.doc_id for r in neardup.deduplicated(docs).collect()), key=str)
+    assert made == sorted([*set(brute_groups(rows)[0].values()), None], key=str)
+
+
 # 3: passages
 
 
