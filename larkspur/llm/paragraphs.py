@@ -7,9 +7,9 @@ with a probability of 0.9994, a closer one almost surely.
 
 Passages are also pasted into the middle of lines, so the fine grain cuts a text, across lines,
 behind words whose hash is lowest among their neighbours. Such cuts depend on the nearest words
-alone and so fall alike in every copy of a passage. Pieces have 5 to 23 words, 9 on average. With
-fewer than 9 shingles any difference brings the similarity below 0.8, so pieces are linked when
-equal, which needs no bands.
+alone and so fall alike in every copy of a passage. Pieces have 5 to 23 words, 9 on average, and
+are linked when equal, which needs no bands. Unequal pieces can reach 0.8 (8 of 9 words do), so a
+near copy pasted into a line is found by its equal pieces only, and missed where these are too few.
 
 Linked paragraphs form components; a paragraph repeats when its component spans documents. The
 smallest document of a component keeps its copy, and so a word goes only where no paragraph around
@@ -33,8 +33,8 @@ from larkspur.plans.registry import Query
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 14, 4
-#: Lines of fewer words are left to the fine grain: below 9 shingles, 0.8 means equal.
-LINE_WORDS = 13
+#: Lines of fewer words are left to the fine grain: from 8 words against 9 on (4 of 5 shingles), unequal lines reach 0.8.
+LINE_WORDS = 8
 RADIUS, LONG_PIECE = 4, 24
 #: Words of the shortest passage reported.
 PASSAGE_WORDS = 20

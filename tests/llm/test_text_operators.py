@@ -390,6 +390,19 @@ def test_pasted_passages_and_edited_lines(spark):
     assert {r.doc_id for r in paragraphs.repeated_passages(docs).collect()} == pasted | edited
 
 
+def test_wrapped_lines_with_a_word_added(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    for size in (8, 9, 10, 12):  # similarity 4/5, 5/6, 6/7, 8/9
+        first = [[word() for _ in range(size)] for _ in range(7)]
+        copy = [[*line, word()] for line in first]
+        other = [[word() for _ in range(size)] for _ in range(7)]
+        rows = [(i, "\n".join(" ".join(line) for line in lines)) for i, lines in enumerate((first, copy, other))]
+        found = paragraphs.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        want = {(0, 0, 7 * size, False), (1, 0, 7 * (size + 1), True)}
+        assert {(r.doc_id, r.start_word, r.end_word, r.removed) for r in found} == want
+
+
 def left_over(rows, found):
     """Texts as word lists without the spans to remove."""
     gone = defaultdict(set)
