@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from larkspur.llm import contamination, interpolation, language, lengths, mixing, paragraphs, quality, rules, secrets, simhash
+from larkspur.llm import (
+    contamination,
+    conversations,
+    interpolation,
+    language,
+    lengths,
+    mixing,
+    paragraphs,
+    quality,
+    rules,
+    secrets,
+    simhash,
+)
 from larkspur.plans.registry import Query
 
 QUERIES: dict[str, Query] = {
@@ -16,4 +28,5 @@ QUERIES: dict[str, Query] = {
     **lengths.QUERIES,
     **quality.QUERIES,
     **rules.QUERIES,
+    **conversations.QUERIES,
 }
