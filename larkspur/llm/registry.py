@@ -12,6 +12,7 @@ from larkspur.llm import (
     paragraphs,
     quality,
     rules,
+    search,
     secrets,
     simhash,
 )
@@ -29,4 +30,5 @@ QUERIES: dict[str, Query] = {
     **quality.QUERIES,
     **rules.QUERIES,
     **conversations.QUERIES,
+    **search.QUERIES,
 }
