@@ -115,6 +115,19 @@ def ragged(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, np.arange(len(rows)) - starts[rows]
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened by underscores until no column of ``df`` has them, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        name = f"__{name}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def add_columns(
     df: DataFrame,
     ddl: str,

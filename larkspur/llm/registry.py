@@ -15,6 +15,7 @@ from larkspur.llm import (
     search,
     secrets,
     simhash,
+    suffixes,
 )
 from larkspur.plans.registry import Query
 
@@ -31,4 +32,5 @@ QUERIES: dict[str, Query] = {
     **rules.QUERIES,
     **conversations.QUERIES,
     **search.QUERIES,
+    **suffixes.QUERIES,
 }
