@@ -148,11 +148,11 @@ def pagerank(
         ),
         "outgoing",
     )
-    laid_out = _kept(outgoing, "src", "copy")
+    laid_out = kept_by(outgoing, "src", "copy")
     ends = outgoing.select(F.col("src").alias("id"), copies.alias("copies")).unionByName(
         outgoing.select(F.col("dst").alias("id"), F.lit(0).alias("copies"))
     )
-    vertices = _kept(
+    vertices = kept_by(
         materialise(ends.groupBy("id").agg(F.max("copies").alias("copies")), "vertices"), "id"
     )
     size = float(vertices.count())
@@ -181,7 +181,7 @@ def pagerank(
     return result
 
 
-def _kept(df: DataFrame, *keys: str) -> DataFrame:
+def kept_by(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` cached in the layout its joins on ``keys`` need: no exchange and no sort per round.
 
     It is filled at once, since a join sees the layout of a filled cache only.

@@ -6,6 +6,10 @@ the text reaches its reducer as one row per map task.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +21,7 @@ from larkspur.functions.text import (
     proper_prefixes,
     tokens,
 )
-from larkspur.session import materialise
+from larkspur.session import materialise, ship_package
 
 NMAX = 5
 MIN_COUNT = 3
@@ -102,9 +106,79 @@ def prefix_entries(words: DataFrame) -> DataFrame:
     return words.select(F.explode(proper_prefixes(F.col("word"))).alias("prefix"), "word", "cnt")
 
 
+class _Node:
+    """A prefix whose words are still arriving: their total and the k best (count, word)."""
+
+    def __init__(self) -> None:
+        self.total, self.best = 0, []
+
+    def add(self, total: int, best: list[tuple[int, str]], k: int) -> None:
+        self.total += total
+        self.best = sorted(self.best + best, key=lambda b: (-b[0], b[1]))[:k]
+
+
+def prefix_nodes(words: DataFrame, k: int) -> DataFrame:
+    """(prefix, word, cnt): for each prefix in a task its k best words, and their total without a word.
+
+    Words come sorted, so a task walks the trie of its range with one open path. A prefix is left
+    when the next word does not share it; its total and its k best then go to the prefix one
+    shorter. Prefixes at the ends of a range arise in two tasks and are merged by who reads them.
+    """
+    ship_package(words.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, last, rows = [_Node()], "", []
+
+        def leave(depth: int) -> None:
+            while len(path) > depth + 1:
+                node = path.pop()
+                prefix = last[: len(path)]
+                if node.best:
+                    rows.extend((prefix, word, cnt) for cnt, word in node.best)
+                    rows.append((prefix, None, node.total))
+                path[-1].add(node.total, node.best, k)
+
+        def made() -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True))
+            kinds = (pa.string(), pa.string(), pa.int64())
+            rows.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["prefix", "word", "cnt"]
+            )
+
+        for batch in batches:
+            for word, cnt in zip(*(batch.column(c).to_pylist() for c in ("word", "cnt")), strict=True):
+                shared = len(os.path.commonprefix([last, word]))
+                leave(min(shared, max(0, len(word) - 1)))
+                last = word
+                path.extend(_Node() for _ in range(len(path), len(word)))
+                if len(word) > 1:
+                    path[-1].add(cnt, [(cnt, word)], k)
+                if len(rows) >= 10_000:
+                    yield made()
+        leave(0)
+        if rows:
+            yield made()
+
+    dealt = words.where("word IS NOT NULL").select("word", F.col("cnt").cast("long").alias("cnt"))
+    return dealt.repartitionByRange("word").sortWithinPartitions("word").mapInArrow(
+        run, "prefix string, word string, cnt long"
+    )
+
+
 def word_completion(words: DataFrame, k: int = 5) -> DataFrame:
-    """The k most frequent words behind each proper prefix, with their share."""
-    return group_share(prefix_entries(words), "prefix", "word", k)
+    """The k most frequent words behind each proper prefix, with their share.
+
+    Instead of a row for each prefix of each word, at most k a prefix are shuffled. ``words`` has one
+    row a word; null words are left out.
+    """
+    nodes = materialise(prefix_nodes(words, k), "prefixes")
+    totals = nodes.where("word IS NULL").groupBy("prefix").agg(F.sum("cnt").alias("_total"))
+    best = Window.partitionBy("prefix").orderBy(F.desc("cnt"), F.asc("word"))
+    kept = nodes.where("word IS NOT NULL").withColumn("position", F.row_number().over(best)).filter(
+        F.col("position") <= k
+    )
+    return kept.join(totals, "prefix").withColumn("share", F.col("cnt") / F.col("_total")).drop("_total")
 
 
 def phrase_entries(grams: DataFrame) -> DataFrame:

@@ -22,6 +22,8 @@ TS_SLOT = 1000
 PIECE_PER_DRIVER = 2
 
 LOCATION = "DRIVER_LOCATION"
+#: A row that says only how far its stream has come.
+TICK = "TICK"
 EVENT_COLUMNS = [
     "seq",
     "ts",
@@ -44,13 +46,13 @@ def split_trace(trace: DataFrame) -> tuple[DataFrame, DataFrame]:
     return trace.filter(location), trace.filter(~location)
 
 
-def effective_events(trace: DataFrame, strict: bool = False) -> DataFrame:
+def effective_events(trace: DataFrame, strict: bool = False, ticks: bool = False) -> DataFrame:
     """Rows that change state or ask for a driver, with their ``action``.
 
     move: a driver's new position; put: a driver becomes available; drop: a driver leaves;
     request: a client asks. Rows without coordinates have no effect. An ``origin`` column, if
     present, tells which stream a row came from; under ``strict`` a location update arriving on
-    the event stream is an error.
+    the event stream is an error. With ``ticks``, rows of type TICK stay as well, as ``tick``.
     """
     kind = F.col("type")
     driver = F.col("driver_id").isNotNull()
@@ -71,13 +73,13 @@ def effective_events(trace: DataFrame, strict: bool = False) -> DataFrame:
     if strict:
         failure = F.raise_error(F.lit("location update on the event stream")).cast("string")
         action = F.when(misplaced, failure).otherwise(action)
+    placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    if ticks:
+        action = F.when(kind == TICK, "tick").otherwise(action)
+        placed = placed | (kind == TICK)
     return (
         trace.withColumn("action", action)
-        .filter(
-            F.col("action").isNotNull()
-            & F.col("latitude").isNotNull()
-            & F.col("longitude").isNotNull()
-        )
+        .filter(F.col("action").isNotNull() & placed)
         .select(*EVENT_COLUMNS)
     )
 
@@ -338,11 +340,17 @@ def _request_counts(trace: DataFrame, target_rows: int, slot_width: int) -> Data
     """
     pieces = _pieces(trace, target_rows, slot_width)
     in_order = (F.asc_nulls_first("ts"), F.asc_nulls_first("seq"))
-    driver = Window.partitionBy("block_id", "driver_id").orderBy(*in_order)
-    now = (F.col("action") == "put").cast("int")
+    acts = pieces.filter(F.col("action").isin("put", "drop")).withColumn(
+        "now", (F.col("action") == "put").cast("int")
+    )
+    # a driver's last act in a piece is where its next piece starts, so one busy driver is many tasks' work
+    ends = acts.groupBy("block_id", "driver_id", PIECE).agg(F.max_by("now", _at()).alias("_end"))
+    over_pieces = Window.partitionBy("block_id", "driver_id").orderBy(PIECE)
+    starts = ends.withColumn("_from", F.lag("_end").over(over_pieces)).drop("_end").filter("_from = 1")
+    driver = Window.partitionBy("block_id", PIECE, "driver_id").orderBy(*in_order)
     changes = (
-        pieces.filter(F.col("action").isin("put", "drop"))
-        .withColumn("change", now - F.coalesce(F.lag(now).over(driver), F.lit(0)))
+        null_safe_join(acts, starts, ["block_id", "driver_id", PIECE], "left")
+        .withColumn("change", F.col("now") - F.coalesce(F.lag("now").over(driver), "_from", F.lit(0)))
         .filter(F.col("change") != 0)
         .select("block_id", PIECE, "ts", "seq", "change")
     )

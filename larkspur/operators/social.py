@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.dates import post_time
+from larkspur.operators.recommend import best_candidates
 from larkspur.operators.skew import split_join
 from larkspur.session import materialise
 
@@ -212,15 +213,13 @@ def two_hop_candidates(links: DataFrame, ids: DataFrame | None = None) -> DataFr
 
 
 def recommend_followees(
-    links: DataFrame, users: DataFrame, ids: DataFrame | None = None, k: int = 10
+    links: DataFrame, users: DataFrame, ids: DataFrame | None = None, k: int = 10, **limits: int
 ) -> DataFrame:
-    """The k best candidates per user, ties to the smaller id; unknown ones drop out after the cut."""
-    best = Window.partitionBy("user_id").orderBy(F.desc("score"), F.asc("candidate"))
-    top = (
-        mutual_count(links, ids)
-        .withColumn("position", F.row_number().over(best))
-        .filter(F.col("position") <= k)
-    )
+    """The k best candidates per user, ties to the smaller id; unknown ones drop out after the cut.
+
+    Scores are counted as ``recommend.best_candidates`` does, which takes ``limits``.
+    """
+    top = best_candidates(links, ids, k, **limits)
     profiles = users.select(F.col("user_id").alias("candidate"), "name", "profile_url")
     return top.join(profiles, "candidate").select(
         "user_id", "position", "candidate", "score", "name", "profile_url"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.operators import graph as ops
+from larkspur.operators import messages
 from larkspur.plans.registry import Query
 from larkspur.plans.tables import LINKS_SQL, RAW_EDGES_SQL, links, raw_edges, with_clauses
 from larkspur.session import scratch_path
@@ -62,10 +63,34 @@ def _pagerank(dangling: str, rounds: int = 10) -> Query:
     )
 
 
+def _ranked(dangling: str) -> Query:
+    """The same ranks by a vertex program."""
+
+    def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = messages.ranked(links(spark, sf_dir), dangling=dangling)
+        return found.vertices.select("id", F.round("rank", 6).alias("rank"))
+
+    return Query(plan, _pagerank(dangling).sql)
+
+
+#: Hops after which the check below has every vertex's smallest reachable id.
+_HOPS = 16
+
+
+def _components_sql() -> str:
+    clauses = [LINKS_SQL, _VERTICES_SQL, "c0 AS MATERIALIZED (SELECT id, id AS component FROM vertices)"]
+    clauses.append("ways AS MATERIALIZED (SELECT src, dst FROM links UNION SELECT dst, src FROM links)")
+    for i in range(1, _HOPS + 1):
+        clauses.append(f"""c{i} AS MATERIALIZED (
+  SELECT a.id, least(min(a.component), min(b.component)) AS component
+  FROM c{i - 1} a JOIN ways w ON w.dst = a.id JOIN c{i - 1} b ON b.id = w.src GROUP BY a.id)""")
+    return with_clauses(*clauses) + f"SELECT id, component FROM c{_HOPS}"
+
+
 def _rank_then_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranks written as text by one job and read back by the next, which recommends."""
     path = scratch_path(spark, "ranks")
-    write_tsv(ops.pagerank(links(spark, sf_dir), 3).select("id", F.round("rank", 6)), path)
+    write_tsv(ops.pagerank(links(spark, sf_dir)).select("id", F.round("rank", 6)), path)
     found = ops.influencer_two_hop(links(spark, sf_dir), read_ranks(spark, path))
     return found.withColumn("influence", F.round("influence", 6))
 
@@ -95,12 +120,25 @@ def _string_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_edges(spark, path, ids="string")
 
 
+_INFLUENCER_SQL = (
+    with_clauses(
+        LINKS_SQL,
+        _VERTICES_SQL,
+        """ranks AS (
+  SELECT v.id, coalesce(r.rank, 0.0)::DOUBLE AS rank FROM vertices v
+  LEFT JOIN (SELECT dst AS id, count(*)::DOUBLE AS rank FROM links GROUP BY dst) r
+    ON r.id = v.id)""",
+        _two_hop_sql("ranks"),
+    )
+    + _TWO_HOP_SQL
+)
+
 QUERIES: dict[str, Query] = {
     "rank_then_recommend": Query(
         _rank_then_recommend,
-        _pagerank_sql(3, "spread").rstrip()
+        _pagerank_sql(10, "spread").rstrip()
         + """,
-rounded AS MATERIALIZED (SELECT id, round(rank, 6) AS rank FROM r3),
+rounded AS MATERIALIZED (SELECT id, round(rank, 6) AS rank FROM r10),
 """
         + _two_hop_sql("rounded")
         + "\n"
@@ -172,19 +210,18 @@ FROM links JOIN outs USING (src) GROUP BY dst""",
     ),
     "pagerank": _pagerank("spread"),
     "pagerank_post": _pagerank("post"),
+    "pagerank_messages": _ranked("spread"),
+    "pagerank_post_messages": _ranked("post"),
+    "connected_components": Query(
+        lambda spark, d: messages.connected_components(links(spark, d)).vertices, _components_sql()
+    ),
+    "influencer_messages": Query(
+        lambda spark, d: messages.influencer(links(spark, d), _in_degree_ranks(links(spark, d))), _INFLUENCER_SQL
+    ),
     "influencer_two_hop": Query(
         lambda spark, d: ops.influencer_two_hop(
             links(spark, d), _in_degree_ranks(links(spark, d))
         ),
-        with_clauses(
-            LINKS_SQL,
-            _VERTICES_SQL,
-            """ranks AS (
-  SELECT v.id, coalesce(r.rank, 0.0)::DOUBLE AS rank FROM vertices v
-  LEFT JOIN (SELECT dst AS id, count(*)::DOUBLE AS rank FROM links GROUP BY dst) r
-    ON r.id = v.id)""",
-            _two_hop_sql("ranks"),
-        )
-        + _TWO_HOP_SQL,
+        _INFLUENCER_SQL,
     ),
 }

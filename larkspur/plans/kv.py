@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from larkspur.operators import kvlog as ops
 from larkspur.plans.registry import Query
-from larkspur.plans.tables import KV_OPS_SQL, event_stream, kv_ops, kv_ops_of, with_clauses
+from larkspur.plans.tables import KV_OPS_SQL, event_stream, in_slices, kv_ops, kv_ops_of, with_clauses
 from larkspur.session import scratch_path
+from larkspur.streaming.ordered import as_of_stream, split_sink
 from larkspur.streaming.tables import changes_sink, current_rows, kv_latest_stream
 
 _LATEST_SQL = (
@@ -24,6 +26,20 @@ def _streamed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_rows(spark.read.parquet(path), "key")
 
 
+def _streamed_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as a stream of files in order of arrival; timestamps are up to 100 hours behind."""
+    log = kv_ops(spark, sf_dir)
+    folder, path, late = (scratch_path(spark, n) for n in ("log", "answers", "late"))
+    in_slices(log, folder, F.col("seq"))
+    end = log.agg(F.max("ts")).first()[0] or 0
+    beyond = F.lit(end + 400 * 3_600_000).alias("ts")
+    tick = spark.range(1).select(F.lit(0).cast("long").alias("seq"), F.lit("").alias("key"), F.lit("TICK").alias("op"), beyond)
+    tick.withColumn("value", F.lit(None).cast("string")).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    split_sink(as_of_stream(stream, "101 hours"), path, late).awaitTermination()
+    return spark.read.parquet(path).select("seq", "key", "ts", "value")
+
+
 _AS_OF_SQL = (
     with_clauses(
         KV_OPS_SQL,
@@ -49,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "kv_read_as_of_split": Query(
         lambda spark, d: ops.read_as_of(kv_ops(spark, d), target_rows=16), _AS_OF_SQL
     ),
+    "kv_read_as_of_stream": Query(_streamed_as_of, _AS_OF_SQL),
     "kv_latest": Query(lambda spark, d: ops.kv_latest(kv_ops(spark, d)), _LATEST_SQL),
     "kv_latest_stream": Query(_streamed_latest, _LATEST_SQL),
     "kv_stale_puts": Query(lambda spark, d: ops.kv_stale_puts(kv_ops(spark, d)), _STALE_SQL),

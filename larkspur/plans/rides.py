@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from larkspur.operators import dispatching
 from larkspur.operators import rides as ops
 from larkspur.plans.registry import Plan, Query
-from larkspur.plans.tables import TRACE_SQL, event_stream, trace, trace_of, with_clauses
+from larkspur.plans.tables import TRACE_SQL, event_stream, in_slices, trace, trace_of, with_clauses
 from larkspur.session import scratch_path
+from larkspur.streaming.ordered import ordered_match_stream, split_sink, ticks
 from larkspur.streaming.rides import match_sink, match_stream, ride_stream
+from larkspur.streaming.snapshots import driver_counts_at, drivers_at
 from larkspur.streaming.tables import changes_sink, current_rows, driver_state_stream
 
 _EFFECTIVE_SQL = """effective AS (
@@ -154,6 +156,35 @@ def _streamed_matches(surge: bool = False, consume: bool = True) -> Plan:
     return plan
 
 
+#: Up to so many ms late do rows arrive in the query below.
+DISORDER = 3_600_000
+
+
+def _ordered_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both topics in files that are out of order by up to an hour, matched in order all the same."""
+    rows = trace(spark, sf_dir)
+    arrives = F.col("ts") + F.pmod(F.xxhash64("seq"), F.lit(DISORDER))
+    end = rows.agg(F.max("ts")).first()[0] or 0
+    streams = []
+    for topic, part in zip(("locations", "events"), ops.split_trace(rows)):
+        folder = scratch_path(spark, topic)
+        in_slices(part, folder, arrives)
+        ticks(rows, end + 2 * DISORDER).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2)
+        streams.append(stream.parquet(folder))
+    path, late = scratch_path(spark, "matches"), scratch_path(spark, "late")
+    split_sink(ordered_match_stream(*streams, f"{DISORDER + 1} milliseconds"), path, late).awaitTermination()
+    return spark.read.parquet(path).select("seq", "client_id", "driver_id", "score", "price_factor")
+
+
+def _drivers_in_state(spark: SparkSession, sf_dir: str) -> str:
+    """Checkpoint of a match stream that has seen all events."""
+    checkpoint = scratch_path(spark, "checkpoint")
+    matches = match_stream(_tagged_stream(spark, sf_dir), consume=False)
+    match_sink(matches, scratch_path(spark, "matches"), checkpoint=checkpoint).awaitTermination()
+    return checkpoint
+
+
 def _streamed_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "drivers")
     changes_sink(
@@ -164,8 +195,8 @@ def _streamed_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per origin and type after both streams were merged."""
+def _merged_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with its origin after both streams were merged."""
     path = scratch_path(spark, "merged")
     tagged = _tagged_stream(spark, sf_dir).select("origin", "type", "seq")
     (
@@ -175,11 +206,7 @@ def _stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .start(path)
         .awaitTermination()
     )
-    return (
-        spark.read.parquet(path)
-        .groupBy("origin", "type")
-        .agg(F.count(F.lit(1)).alias("cnt"), F.sum("seq").alias("seq_sum"))
-    )
+    return spark.read.parquet(path)
 
 
 QUERIES: dict[str, Query] = {
@@ -201,6 +228,19 @@ QUERIES: dict[str, Query] = {
     ),
     "driver_state": Query(lambda spark, d: ops.driver_state(trace(spark, d)), _STATE_SQL),
     "driver_state_stream": Query(_streamed_drivers, _STATE_SQL),
+    "driver_state_snapshot": Query(
+        lambda spark, d: drivers_at(spark, _drivers_in_state(spark, d)), _STATE_SQL
+    ),
+    "driver_count_snapshot": Query(
+        lambda spark, d: driver_counts_at(spark, _drivers_in_state(spark, d)),
+        f"SELECT block_id, count(*) AS drivers FROM ({_STATE_SQL}) GROUP BY block_id",
+    ),
+    "match_ordered_stream": Query(
+        lambda spark, d: _ordered_matches(spark, d)
+        .withColumn("score", F.round("score", 6))
+        .withColumn("price_factor", F.round("price_factor", 6)),
+        _sequential("seq, client_id, driver_id, score, price_factor"),
+    ),
     "request_driver_candidates": Query(
         lambda spark, d: ops.request_driver_candidates(trace(spark, d)),
         _BASE + "SELECT * FROM candidates",
@@ -271,10 +311,10 @@ FROM (SELECT *, lag(drivers) OVER (PARTITION BY block_id ORDER BY seq) AS previo
         _sequential("seq, client_id, driver_id, score, price_factor"),
     ),
     "stream_in": Query(
-        _stream_counts,
+        _merged_streams,
         with_clauses(TRACE_SQL)
         + """SELECT CASE WHEN "type" = 'DRIVER_LOCATION' THEN 'locations' ELSE 'events' END AS origin,
-       "type", count(*) AS cnt, CAST(sum(seq) AS BIGINT) AS seq_sum FROM trace GROUP BY ALL""",
+       "type", seq FROM trace""",
     ),
     "match_sink": Query(_streamed_matches(), _sequential("seq, client_id, driver_id")),
     "match_sink_surge": Query(

@@ -163,4 +163,11 @@ FROM links l JOIN posts p ON l.dst = p.uid""",
     "recommend_followees": Query(
         lambda spark, d: ops.recommend_followees(links(spark, d), users(spark, d)), _RECOMMEND_SQL
     ),
+    # every other followee counts as a hub, so that thresholds and both ways of meeting hubs are used
+    "recommend_followees_hubs": Query(
+        lambda spark, d: ops.recommend_followees(
+            links(spark, d), users(spark, d), hub_links=40, cell_paths=1000
+        ),
+        _RECOMMEND_SQL,
+    ),
 }

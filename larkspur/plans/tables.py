@@ -111,6 +111,14 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def in_slices(df: DataFrame, folder: str, arrives: Column, number: int = 6) -> None:
+    """Write ``df`` as the files of a stream: slice after slice of the time at which rows arrive."""
+    low, high = df.agg(F.min(arrives), F.max(arrives)).first()
+    place = F.floor((arrives - F.lit(low or 0)) * number / F.lit((high or 0) - (low or 0) + 1))
+    for k in range(number):
+        df.where(place == k).write.mode("append").parquet(folder)
+
+
 def kv_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kv_ops_of(table(spark, sf_dir, "events"))
 

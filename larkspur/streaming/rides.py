@@ -11,7 +11,7 @@ from collections.abc import Iterator, Mapping
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import (
     StatefulProcessor,
@@ -46,6 +46,11 @@ def checked_origin(tagged: DataFrame) -> DataFrame:
     return tagged.withColumn("origin", F.when(known, F.col("origin")).otherwise(unknown.cast("string")))
 
 
+def block_key() -> Column:
+    """A block's key in state: a text, since numbers beside a NULL reach a processor as floats."""
+    return F.coalesce(F.col("block_id").cast("string"), F.lit("")).alias("block")
+
+
 class MatchProcessor(StatefulProcessor):
     """Keeps a block's drivers, positions and last driver count; answers its requests."""
 
@@ -62,8 +67,12 @@ class MatchProcessor(StatefulProcessor):
     def handleInputRows(
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
+        yield self.applied_to(pd.concat(list(rows)))
+
+    def applied_to(self, rows: pd.DataFrame) -> pd.DataFrame:
+        """Apply rows in (ts, seq) order to the block's state; the matches they lead to."""
         board = Board(self.consume, self.location_wins)
-        batch = pd.concat(list(rows)).sort_values(["ts", "seq"], kind="stable")
+        batch = rows.sort_values(["ts", "seq"], kind="stable")
         if (batch["action"] == "request").any():
             board.restore(
                 {driver: Driver(*value) for (driver,), value in self.drivers.iterator()},
@@ -102,7 +111,7 @@ class MatchProcessor(StatefulProcessor):
         _store(self.moves, moves, board.moves)
         if board.previous != previous:
             self.last.update((board.previous,))
-        yield pd.DataFrame(
+        return pd.DataFrame(
             matches, columns=["seq", "client_id", "driver_id", "score", "price_factor"]
         ).astype(
             {
@@ -133,7 +142,7 @@ def match_stream(
     """Stream of matches (seq, client_id, driver_id, score, price_factor)."""
     ship_package(tagged.sparkSession)
     events = effective_events(checked_origin(tagged)).select(
-        "block_id",
+        block_key(),
         "action",
         F.coalesce("driver_id", "client_id").alias("party"),
         "ts",
@@ -144,7 +153,7 @@ def match_stream(
         "rating",
         "salary",
     )
-    return events.groupBy("block_id").transformWithStateInPandas(
+    return events.groupBy("block").transformWithStateInPandas(
         MatchProcessor(consume, location_wins, ttl_ms),
         outputStructType=MATCH,
         outputMode="Append",
