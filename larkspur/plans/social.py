@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.operators import social as ops
-from larkspur.plans.registry import Query
+from larkspur.plans.registry import Plan, Query
 from larkspur.plans.tables import (
     LINKS_SQL,
     POSTS_SQL,
     USERS_SQL,
+    in_slices,
     links,
     posts,
     table,
     users,
     with_clauses,
 )
+from larkspur.session import scratch_path
+from larkspur.sources.clustered import SocialTables
+from larkspur.streaming.timelines import timelines_at, timelines_query
 
 
 def _login_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +38,32 @@ def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("user_id"))
 
 
+def _streamed_timelines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts and links delivered slice by slice; about half of the authors count as celebrities."""
+    folders, streams = {}, []
+    for name, rows, arrives in (
+        ("posts", posts(spark, sf_dir), F.col("pid")),
+        ("links", links(spark, sf_dir), F.pmod(F.xxhash64("src", "dst"), F.lit(1000))),
+    ):
+        folders[name] = scratch_path(spark, name)
+        in_slices(rows, folders[name], arrives, 3)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 16)
+        streams.append(stream.parquet(folders[name]))
+    query, checkpoint = timelines_query(*streams, celebrity=30)
+    query.awaitTermination()
+    return timelines_at(spark, checkpoint)
+
+
+def _clustered(read: Callable[[SocialTables, DataFrame], DataFrame]) -> Plan:
+    """Tables written by row key, then read for the suppliers."""
+
+    def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = SocialTables.write(links(spark, sf_dir), users(spark, sf_dir), posts(spark, sf_dir), 8)
+        return read(tables, _suppliers(spark, sf_dir))
+
+    return plan
+
+
 _MUTUAL_SQL = """paths AS (
   SELECT a.src AS user_id, b.dst AS candidate, count(*) AS score
   FROM links a JOIN links b ON a.dst = b.src
@@ -120,6 +152,27 @@ FROM links l JOIN posts p ON l.dst = p.uid""",
         + 'SELECT user_id, CAST("position" AS INTEGER) AS "position", uid, pid, "timestamp", '
         + "content FROM feed",
     ),
+    "timeline_posts_stream": Query(
+        _streamed_timelines,
+        with_clauses(LINKS_SQL, POSTS_SQL, _FEED_SQL)
+        + 'SELECT user_id, CAST("position" AS INTEGER) AS "position", uid, pid, "timestamp", '
+        + "content FROM feed",
+    ),
+    "row_key_lookup_clustered": Query(
+        _clustered(lambda tables, ids: tables.neighbours(ids)),
+        with_clauses(LINKS_SQL)
+        + """SELECT dst AS user_id, src AS neighbour FROM links
+WHERE dst IN (SELECT s_suppkey FROM supplier)""",
+    ),
+    "followers_clustered": Query(
+        _clustered(lambda tables, ids: tables.followers()),
+        with_clauses(LINKS_SQL, USERS_SQL) + _FOLLOWERS_SQL,
+    ),
+    "user_posts_clustered": Query(
+        _clustered(lambda tables, ids: tables.user_posts(ids)),
+        with_clauses(POSTS_SQL)
+        + f'SELECT uid, pid, "timestamp", content FROM posts WHERE uid IN {_ASKED}',
+    ),
     "timeline": Query(
         lambda spark, d: ops.timeline(links(spark, d), users(spark, d), posts(spark, d)), _TIMELINE_SQL
     ),
