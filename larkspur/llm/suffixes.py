@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import add_columns, free_names, map_texts, prepared, ragged, table, written
+from larkspur.llm.common import add_columns, free_names, map_texts, prepared, ragged, slices, table, written
 from larkspur.plans.registry import Query
 
 LENGTH = 50
@@ -37,11 +37,11 @@ GRAM = 16
 #: Text handled at once while anchors are searched, so that arrays stay in the cache.
 STRETCH = 1 << 17
 #: Anchors that a task holds before it sends them.
-HELD = 1 << 20
+HELD = 1 << 17
 #: Text for each bucket range of anchors.
-RANGE_BYTES = 8 << 20
+RANGE_BYTES = 4 << 20
 #: Surroundings sorted at once.
-CHUNK = 1 << 15
+CHUNK = 1 << 12
 #: A gram with more different surroundings is met by 33 bytes instead of 16.
 DEEP = 20_000
 #: Documents sampled to find very common grams; these only steer the choice of anchors.
@@ -185,21 +185,14 @@ def sent_anchors(docs: DataFrame, length: int, ranges: int, common) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seldom = Common(common.value)
         held, number = [], 0
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
+        for batch in slices(batches):
             doc, twin = np.asarray(batch.column("doc"), np.int64), np.asarray(batch.column("twin"), np.int32)
-            sizes = np.cumsum([len(t or "") for t in texts])
-            start = 0
-            while start < len(texts):  # about HELD anchors at once
-                done = sizes[start - 1] if start else 0
-                stop = max(start + 1, int(np.searchsorted(sizes, done + 8 * HELD)))
-                row, place, gram, around = anchors(_bytes(texts[start:stop]), length, seldom)
-                held.append((gram, around, doc[start:stop][row], twin[start:stop][row], place.astype(np.int32)))
-                number += len(row)
-                start = stop
-                if number >= HELD:
-                    yield pack(held)
-                    held, number = [], 0
+            row, place, gram, around = anchors(_bytes(batch.column("text").to_pylist()), length, seldom)
+            held.append((gram, around, doc[row], twin[row], place.astype(np.int32)))
+            number += len(row)
+            if number >= HELD:
+                yield pack(held)
+                held, number = [], 0
         if number:
             yield pack(held)
 
@@ -231,12 +224,13 @@ def _buckets(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> Itera
     """(bucket, unpacked columns) of partitions sorted by bucket."""
     bucket, held = None, []
     for batch in batches:
-        for row in batch.to_pylist():
-            if row["bucket"] != bucket and held:
+        columns = [(batch.column(n), t) for n, t in kinds.items()]
+        for k, own in enumerate(batch.column("bucket").to_pylist()):
+            if own != bucket and held:
                 yield bucket, [np.concatenate(c) for c in zip(*held, strict=True)]
                 held = []
-            bucket = row["bucket"]
-            held.append([np.frombuffer(row[n], t) for n, t in kinds.items()])
+            bucket = own
+            held.append([np.frombuffer(c[k].as_buffer(), t) for c, t in columns])
     if held:
         yield bucket, [np.concatenate(c) for c in zip(*held, strict=True)]
 
@@ -290,7 +284,7 @@ def sent_edges(docs: DataFrame, places: DataFrame, length: int, ranges: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, number = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             texts = _bytes(batch.column("text").to_pylist())
             doc, twin = np.asarray(batch.column("doc"), np.int64), np.asarray(batch.column("twin"), np.int32)
             asked = batch.column("asked")
@@ -363,14 +357,14 @@ def repeats_earlier(data: np.ndarray, sizes: np.ndarray, docs: np.ndarray, lengt
     for k in range(depth):
         gram = (gram << np.uint64(8)) | data[k : len(gram) + k]
     pointer = np.zeros(len(data), np.int64)
-    ordered = alive[np.argsort(gram[alive], kind="stable")]
+    ordered = alive[np.argsort(gram[alive])]
     new = np.concatenate([[True], gram[ordered[1:]] != gram[ordered[:-1]]])
     alive = _settle(pointer, ordered, new, np.zeros(len(ordered), np.int64), np.arange(len(ordered)))
     while depth < length and len(alive):
         deeper = min(2 * depth, length)
         alive = alive[room[alive] >= deeper]
         key = pointer[alive] * len(data) + pointer[alive + deeper - depth]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered, key = alive[order], key[order]
         new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
         old = pointer[ordered]
@@ -454,34 +448,30 @@ def spans_of(size: int, places: np.ndarray, masks: list[list[int] | None], lengt
 
 
 @contextmanager
-def shuffles_dropped(spark: SparkSession):
-    """Within it, a query's shuffle files go when the query ends; its tables are read from files anyway."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+def lean(spark: SparkSession):
+    """Within it, shuffle files go when their query ends, since its result is read from files anyway,
+    and tasks get few rows at once: packed ones are large."""
+    own = {
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "128",
+    }
+    before = {name: spark.conf.get(name, None) for name in own}
+    for name, value in own.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
-def repeated_bytes(docs: DataFrame, length: int = LENGTH, spans: str = "spans") -> DataFrame:
-    """``docs`` with ``spans``: start, end, ... of the bytes that strings of earlier documents cover.
 
-    A string counts if it has ``length`` bytes (32 at least) of UTF-8 and also starts in a document with
-    a smaller doc_id; strings are judged on the texts as given and may overlap. Rows without an id
-    neither give nor lose anything; rows of one id do not take from each other, repeated rows get
-    equal spans. Null, empty and short texts have none. Other columns pass through; one named as
-    ``spans`` is replaced. An empty table stays empty.
-    """
+def _marked(docs: DataFrame, length: int) -> tuple[DataFrame, str]:
+    """``docs`` with the marks of each row in a column of the returned name; written work is done by then."""
     if length < 2 * GRAM:
         raise ValueError(f"strings must have {2 * GRAM} bytes at least")
     spark = prepared(docs.sparkSession)
     plain = _documents(docs)
-    with shuffles_dropped(spark):
+    with lean(spark):
         common = spark.sparkContext.broadcast(common_grams(plain, length))
         total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         ranges = max(8, -(-total // RANGE_BYTES))
@@ -492,65 +482,74 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, spans: str = "spans")
             F.collect_list(F.struct("place", "mask")).alias("marks")
         )
         marks = written(marks, "marks")
-    kept = [c for c in docs.columns if c.lower() != spans.lower()]
-    doc, twin, found, made = free_names(docs, "doc", "twin", "marks", "made")
+    doc, twin, found = free_names(docs, "doc", "twin", "marks")
     marks = marks.select(F.col("doc").alias(doc), F.col("twin").alias(twin), F.col("marks").alias(found))
-    text = F.col("text").cast("string")
-    mine = F.pmod(F.xxhash64(text), F.lit(2**31)).cast("int")
+    mine = F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(2**31)).cast("int")
     same = (F.col("doc_id").cast("long") == F.col(doc)) & (mine == F.col(twin))
+    return docs.join(marks, same, "left").drop(doc, twin), found
+
+
+def _rows(batch: pa.RecordBatch, found: str, length: int) -> Iterator[tuple[bytes, list[int]]]:
+    """The UTF-8 of each text of a batch and its spans."""
+    for value, marked in zip(batch.column("text").to_pylist(), batch.column(found).to_pylist(), strict=True):
+        data = (value or "").encode("utf-8", "surrogatepass")
+        places = np.array([m["place"] for m in marked or ()], np.int64)
+        yield data, spans_of(len(data), places, [m["mask"] for m in marked], length) if marked else []
+
+
+def repeated_bytes(docs: DataFrame, length: int = LENGTH, spans: str = "spans") -> DataFrame:
+    """``docs`` with ``spans``: start, end, ... of the bytes that strings of earlier documents cover.
+
+    A string counts if it has ``length`` bytes (32 at least) of UTF-8 and also starts in a document with
+    a smaller doc_id; strings are judged on the texts as given and may overlap. Rows without an id
+    neither give nor lose anything; rows of one id do not take from each other, repeated rows get
+    equal spans. Null, empty and short texts have none. Other columns pass through; one named as
+    ``spans`` is replaced. An empty table stays empty.
+    """
+    marked, found = _marked(docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() != spans.lower())), length)
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
-        out = []
-        for value, marked in zip(batch.column("text").to_pylist(), batch.column(found).to_pylist(), strict=True):
-            if not marked:
-                out.append([])
-                continue
-            size = len((value or "").encode("utf-8", "surrogatepass"))
-            out.append(spans_of(size, np.array([m["place"] for m in marked]), [m["mask"] for m in marked], length))
-        return {made: out}
+        return {spans: [s for _, s in _rows(batch, found, length)]}
 
-    joined = docs.join(marks, same, "left").drop(doc, twin)
-    spanned = add_columns(joined, f"`{made}` array<int>", work, (found,))
-    return spanned.select(*(F.col(f"`{c}`") for c in kept), F.col(made).alias(spans))
+    return add_columns(marked, f"`{spans}` array<int>", work, (found,))
 
 
-def kept_bytes(text: str | None, spans: list[int]) -> bytes:
-    """The UTF-8 of ``text`` without ``spans``."""
-    data = (text or "").encode("utf-8", "surrogatepass")
+def kept_bytes(data: bytes, spans: list[int]) -> bytes:
+    """``data`` without ``spans``."""
     edges = [0, *spans, len(data)]
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with repeated bytes cut out of the texts; halves of characters at the cuts go as well."""
-    (spans, cut) = free_names(docs, "spans", "cut")
+    marked, found = _marked(docs, length)
+    (cut,) = free_names(marked, "cut")
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
-        rows = zip(batch.column("text").to_pylist(), batch.column(spans).to_pylist(), strict=True)
-        return {cut: [kept_bytes(t, s).decode("utf-8", "ignore") if s else t for t, s in rows]}
+        texts = batch.column("text").to_pylist()
+        rows = zip(texts, _rows(batch, found, length), strict=True)
+        return {cut: [kept_bytes(data, s).decode("utf-8", "ignore") if s else t for t, (data, s) in rows]}
 
-    found = add_columns(repeated_bytes(docs, length, spans), f"`{cut}` string", work, ("text", spans))
+    made = add_columns(marked, f"`{cut}` string", work, ("text", found))
     new = {"text": F.col(cut), "n_chars": F.coalesce(F.char_length(cut), F.lit(0)).cast("long")}
-    return found.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
+    return made.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
 
 
 def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes removed from every document, and a digest of those that stay."""
-    docs = table(prepared(spark), sf_dir, "documents").select("doc_id", "text")
+    marked, found = _marked(table(prepared(spark), sf_dir, "documents").select("doc_id", "text"), LENGTH)
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
         sizes, removed, digests, number = [], [], [], []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-            kept = kept_bytes(text, spans)
-            gone = sum(spans[1::2]) - sum(spans[::2])
-            sizes.append(len(kept) + gone)
-            removed.append(gone)
+        for data, spans in _rows(batch, found, LENGTH):
+            sizes.append(len(data))
+            removed.append(sum(spans[1::2]) - sum(spans[::2]))
             number.append(len(spans) // 2)
-            digests.append(hashlib.sha256(kept).hexdigest())
+            digests.append(hashlib.sha256(kept_bytes(data, spans)).hexdigest())
         return {"n_bytes": sizes, "n_removed": removed, "n_spans": number, "kept_sha256": digests}
 
     ddl = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return add_columns(repeated_bytes(docs), ddl, work, ("text", "spans"))
+    return add_columns(marked, ddl, work, ("text", found))
 
 
 _SQL = """

@@ -61,7 +61,7 @@ def frame(spark, docs, parts=5):
 
 
 def kept(found):
-    return sorted(((r.doc_id, suffixes.kept_bytes(r.text, r.spans)) for r in found.collect()), key=str)
+    return sorted(((r.doc_id, suffixes.kept_bytes((r.text or "").encode(), r.spans)) for r in found.collect()), key=str)
 
 
 @pytest.mark.parametrize("length, deep", [(50, 20_000), (50, 1), (33, 1)])
