@@ -2,7 +2,8 @@
 
 One automaton finds every keyword of every kind in one pass over the lower-cased text. Only where a
 keyword stands is that kind's expression tried, anchored at the hit; a kind's matches are taken
-from left to right without overlap, exactly as a search of the whole text would. Strings of hex
+from left to right without overlap, exactly as a search of the whole text would. No stretch is read
+again for each hit inside it, so a text of one keyword over and over takes linear time. Strings of hex
 digits have no keyword: the text's characters are folded to classes, and the keyword is 24 hex
 classes in a row. Last, kinds with a check inside (checksum, encoded header, closing line) drop
 matches that fail it.
@@ -15,6 +16,7 @@ import binascii
 import json
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import add_columns, prepared, table
+from larkspur.llm.common import add_columns, prepared, set_aside, table
 from larkspur.plans.registry import Query
 
 HEX_RUN = 24
@@ -89,12 +91,7 @@ ADDED_KINDS = (
     ),
     Kind("npm", ("npm_",), re.compile(r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])"), crc_token),
     Kind("jwt", ("eyj",), re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), json_header),
-    Kind(
-        "key",
-        ("-----begin ",),
-        re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[A-Za-z0-9+/=\s:,-]*?-----END \1-----"),
-        lambda m: True,
-    ),
+    Kind("key", ("-----begin ",), re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----"), lambda m: True),
     Kind(
         "account",
         ("iban",),
@@ -103,6 +100,38 @@ ADDED_KINDS = (
     ),
 )
 KINDS = BASE_KINDS + ADDED_KINDS
+_NUMBER = {kind.name: k for k, kind in enumerate(KINDS)}
+#: Characters that the first part of a signed web token can go on with.
+_TOKEN_RUN = re.compile(r"[A-Za-z0-9_-]*")
+#: Characters between the opening and the closing line of a private key.
+_KEY_RUN = re.compile(r"[A-Za-z0-9+/=\s:,-]*")
+_KEY_END = re.compile(r"(?=-----END ([A-Z ]*PRIVATE KEY)-----)")
+
+
+class Closings:
+    """Closing lines of private keys in one text: all found in one pass, at the first question."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.places: dict[str, list[int]] | None = None
+        self.run = (0, 0)  # the last run of key characters looked at
+
+    def behind(self, opening: re.Match) -> int:
+        """The end of the key that ``opening`` begins, or -1: its first closing line, if only key
+        characters stand before it."""
+        if self.places is None:
+            self.places = {}
+            for found in _KEY_END.finditer(self.text):
+                self.places.setdefault(found.group(1), []).append(found.start())
+        places, at = self.places.get(opening.group(1), []), opening.end()
+        k = bisect_left(places, at)
+        if k == len(places):
+            return -1
+        if not self.run[0] <= at <= self.run[1]:
+            self.run = (at, _KEY_RUN.match(self.text, at).end())
+        if places[k] > self.run[1]:
+            return -1
+        return places[k] + len(f"-----END {opening.group(1)}-----")
 
 
 @lru_cache(maxsize=1)
@@ -137,16 +166,23 @@ def scan(text: str | None) -> list[tuple[int, int, int]]:
     spans = []
     # an anchored match begins at its keyword, so hits sorted by start are tried left to right
     hits = [(end + 1 - size, number) for end, (number, size) in _automaton().iter(lowered)]
+    closings = Closings(text)
     for start, number in sorted(set(hits)):
         if start < taken.get(number, 0):
             continue
         kind = KINDS[number]
         match = kind.pattern.match(text, start)
-        if match:
-            taken[number] = match.end()
+        end = match.end() if match else -1
+        if match and number == _NUMBER["key"]:
+            end = closings.behind(match)
+        if end >= 0:
+            taken[number] = end
             if kind.passes(match):
-                spans.append((start, match.end(), number))
-    number = next(k for k, kind in enumerate(KINDS) if kind.name == "hex")
+                spans.append((start, end, number))
+        elif number == _NUMBER["jwt"]:
+            # a match needs the end of this run, so no other hit inside it has one
+            taken[number] = _TOKEN_RUN.match(text, start).end()
+    number = _NUMBER["hex"]
     shift = seen = 0  # bytes ahead of code points, up to the byte seen; each byte is read once
     for start, end in _hex_runs(raw):
         if len(raw) != len(text):
@@ -210,13 +246,14 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     def work(batch: pa.RecordBatch) -> dict[str, object]:
         return {"__text": [redacted(t, mark) for t in batch.column("text").to_pylist()]}
 
+    docs, back = set_aside(docs)
     clean = add_columns(docs, "__text string", work)
     changed = ~F.col("__text").eqNullSafe(F.col("text"))
     new = {"text": F.col("__text")}
     if "n_chars" in docs.columns:
         length = F.char_length("__text").cast(docs.schema["n_chars"].dataType)
         new["n_chars"] = F.when(changed, length).otherwise(F.col("n_chars"))
-    return clean.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
+    return back(clean.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns)))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
