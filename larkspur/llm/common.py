@@ -128,6 +128,27 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def set_aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with columns named as operators name theirs (``__...``) under other names, and the way back.
+
+    The second value gives a frame with the same columns their names, and order, again.
+    """
+    plain = [c.lower() for c in docs.columns]
+    names, number = [], 0
+    for name in docs.columns:
+        if name.startswith("__"):
+            while f"aside{number}" in plain:
+                number += 1
+            name, number = f"aside{number}", number + 1
+        names.append(name)
+
+    def back(result: DataFrame) -> DataFrame:
+        pairs = zip(names, docs.columns, strict=True)
+        return result.select(*(F.col(f"`{ours}`").alias(theirs) for ours, theirs in pairs))
+
+    return docs.toDF(*names), back
+
+
 def add_columns(
     df: DataFrame,
     ddl: str,
@@ -137,16 +158,17 @@ def add_columns(
 ) -> DataFrame:
     """Append the columns of ``ddl``, computed by ``work`` on bounded slices, and leave out ``drop``.
 
-    All other columns pass through as they are, whatever their names and types; the names in
-    ``ddl`` must be free in ``df``, so operators give them a leading underscore pair.
+    All other columns pass through as they are, whatever their types. A column of ``df`` with a name
+    in ``ddl``, in any case, is replaced; operators give theirs a leading underscore pair.
     """
     from pyspark.sql.types import StructType
 
     added = _struct(ddl)
-    kept = [f for f in df.schema.fields if f.name not in drop]
+    gone = {f.name.lower() for f in added.fields}
+    place = [k for k, f in enumerate(df.schema.fields) if f.name not in drop and f.name.lower() not in gone]
+    kept = [df.schema.fields[k] for k in place]
     names = [f.name for f in (*kept, *added.fields)]
     kinds = _arrow(ddl)
-    place = [k for k, f in enumerate(df.schema.fields) if f.name not in drop]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, column):

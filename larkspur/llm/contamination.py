@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import add_columns, prepared, table, written
+from larkspur.llm.common import add_columns, prepared, set_aside, table, written
 from larkspur.plans.registry import Query
 
 WINDOW = 13
@@ -270,8 +270,9 @@ def over_coverage(percent: int = 5) -> F.Column:
 
 def without_contaminated(docs: DataFrame, items: DataFrame, percent: int = 5, **options) -> DataFrame:
     """Drop the documents over the coverage limit; all others stay untouched."""
+    docs, back = set_aside(docs)
     found = contamination(docs, items, **options).withColumn("__hit", hit_words())
-    return found.where(~over_coverage(percent)).select(*docs.columns)
+    return back(found.where(~over_coverage(percent)))
 
 
 def cut_spans(docs: DataFrame, items: DataFrame, longest: int = WINDOW, **options) -> DataFrame:
@@ -290,10 +291,11 @@ def cut_spans(docs: DataFrame, items: DataFrame, longest: int = WINDOW, **option
                     texts[row] = texts[row][: places[a][0]] + texts[row][places[b - 1][1] :]
         return {"__text": texts}
 
+    docs, back = set_aside(docs)
     found = contamination(docs, items, **options)
     cut = add_columns(found, "__text string", work, ("text",))
     new = {"text": F.col("__text"), "n_chars": F.char_length("__text").cast("long")}
-    return cut.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
+    return back(cut.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns)))
 
 
 def op7_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

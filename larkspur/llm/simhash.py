@@ -11,7 +11,7 @@ their shared positional bytes, those below four are dropped, the rest verified b
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import add_columns, map_texts, prepared, table, words, written
+from larkspur.llm.common import add_columns, map_texts, prepared, set_aside, table, words, written
 from larkspur.llm.components import components, local_roots
 from larkspur.plans.registry import Query
 
@@ -219,23 +219,20 @@ def deduplicated(docs: DataFrame, distance: int = MAX_DISTANCE, width: int = 4,
     fingerprint, so no group of copies meets in one task.
     """
     prepared(docs.sparkSession)
+    docs, back = set_aside(docs)
     prints = written(simhash(docs, width, seed), "fingerprints")
 
-    def again(batch: pa.RecordBatch) -> np.ndarray:
+    def again(batch: pa.RecordBatch) -> dict[str, object]:
         hashes = [shingle_hashes(t, width, seed) for t in batch.column("text").to_pylist()]
-        return fingerprints(hashes).view(np.int64)
+        return {"__print": fingerprints(hashes).view(np.int64)}
 
-    return first_rows(docs, groups(prints, distance), again)
-
-
-def first_rows(docs: DataFrame, found: DataFrame, again: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
-    """One row of ``docs`` for each group of ``found``; ``again`` gives the fingerprints of a batch."""
-    keepers = found.where("fp = first").select(F.col("fp").alias("__fp"), F.col("component_id").alias("__id"))
-    own = add_columns(docs, "__print long", lambda batch: {"__print": again(batch)})
+    keepers = groups(prints, distance).where("fp = first").select(
+        F.col("fp").alias("__fp"), F.col("component_id").alias("__id")
+    )
+    own = add_columns(docs, "__print long", again)
     same = (F.col("__print") == F.col("__fp")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
     once = F.row_number().over(Window.partitionBy("__fp", "__id").orderBy(F.lit(0)))
-    kept = own.join(keepers, same).withColumn("__once", once).where("__once = 1")
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return back(own.join(keepers, same).withColumn("__once", once).where("__once = 1"))
 
 
 def near_duplicates(

@@ -1,9 +1,12 @@
 """The text operators on rows that are null, empty, long, tied or repeated, and against brute force."""
 
+import base64
 import hashlib
 import itertools
 import math
 import random
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,6 +15,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from larkspur.llm import (
     contamination,
@@ -19,7 +24,6 @@ from larkspur.llm import (
     language,
     lengths,
     mixing,
-    neardup,
     paragraphs,
     quality,
     rules,
@@ -129,6 +133,29 @@ def test_pipeline_on_odd_and_empty_rows(spark, odd, nothing):
         assert rows is None or docs.count() == rows
 
 
+RESERVED = "__text __spans __items __words __id __fp __print __once __score __size __hit".split()
+
+
+def test_columns_named_like_the_operators_own(spark, odd):
+    """Stages return them untouched; operators that add a column of such a name replace it."""
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars", *(F.lit(f"own {n}").alias(n) for n in RESERVED))
+    held = docs
+    for name, stage in corpus_pipeline.STAGES:
+        after = written(stage(spark, held, SF), name)
+        if name == corpus_pipeline.STAGES[-1][0]:
+            assert set(docs.columns) < set(after.columns)
+        else:
+            assert after.dtypes == docs.dtypes, name
+            held = after
+        assert all(r[n] == f"own {n}" for r in after.collect() for n in RESERVED), name
+    labels = spark.createDataFrame([(3, 1, 0), (4, 0, 0)], LABELS)
+    items = spark.createDataFrame([(1, "w1 w2"), (3, "word")], ITEMS)
+    for number, frame in applied(spark, docs, labels, items).items():
+        assert frame.count() == odd.count() or number == 3, number
+    cut = contamination.cut_spans(docs, items, 1)
+    assert cut.columns == docs.columns and {r["__spans"] for r in cut.collect()} == {"own __spans"}
+
+
 def test_pipeline_decides_like_brute_force(spark, real):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = {r.doc_id for r in corpus_pipeline.keep_quality(spark, docs, SF).collect()}
@@ -137,7 +164,7 @@ def test_pipeline_decides_like_brute_force(spark, real):
     assert sum(i in kept for i in marked) >= 0.97 * len(marked)
     assert sum(i in kept for i in labels if labels[i] == 0) <= 0.1 * len(labels)
     after = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()}
-    group = brute_components({i: brute_print(t, 5) for i, t, *_ in real}, 4)
+    group = brute_components({i: brute_print(t, 4) for i, t, *_ in real}, 4)
     assert after == set(group.values())
     clear = {r.doc_id for r in corpus_pipeline.drop_contaminated(spark, docs, SF).collect()}
     items = duckdb.sql(f"select item_id, text from '{SF}/benchmark.parquet'").fetchall()
@@ -287,75 +314,6 @@ def test_components_of_a_long_chain(spark):
     assert local_roots(5, np.array([3, 1]), np.array([4, 3])).tolist() == [0, 1, 2, 1, 1]
 
 
-# the pipeline's near-duplicates
-
-
-def brute_groups(rows, similarity=0.8, width=5):
-    """Groups by exact Jaccard similarity of word shingles, over all pairs; and those pairs with it."""
-    sets = {}
-    for i, t in rows:
-        w = (t or "").encode().lower().split()
-        sets[i] = {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
-    alike, group = {}, {i: i for i in sets}
-    for a, b in itertools.combinations(sorted(sets), 2):
-        both = len(sets[a] & sets[b])
-        whole = len(sets[a]) + len(sets[b]) - both
-        if both >= similarity * whole:
-            alike[a, b] = both / whole if whole else 1.0
-    changed = True
-    while changed:
-        changed = False
-        for a, b in alike:
-            low = min(group[a], group[b])
-            changed |= group[a] != low or group[b] != low
-            group[a] = group[b] = low
-    return group, alike
-
-
-def near_copies():
-    """Near copies at 0.8 to 0.97, chains of them, pairs just below 0.8, short and empty texts."""
-    rng = random.Random(6)
-    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
-    texts = []
-    for edits in (2, 4, 6, 8, 9, 10, 11, 12, 14):
-        for _ in range(4):
-            base = [word() for _ in range(400)]
-            texts.append(base)
-            for step in range(3):
-                base = list(base) if step else list(texts[-1])
-                for at in rng.sample(range(400), edits):
-                    base[at] = word()
-                texts.append(base)
-    short = [word() for _ in range(40)]
-    texts += [short, [*short, word()], short[:4], short[:4], short[:3], [], []]
-    rng.shuffle(texts)
-    return [(i, " ".join(w)) for i, w in enumerate(texts)]
-
-
-@pytest.mark.parametrize("cell_rows", [3, 256])
-def test_pipeline_drops_near_duplicates_by_jaccard(spark, real, cell_rows):
-    for rows in (near_copies(), [(i, t) for i, t, *_ in real]):
-        group, alike = brute_groups(rows)
-        assert any(j < 0.85 for j in alike.values())
-        docs = spark.createDataFrame([*rows, *rows[:9]], "doc_id long, text string")
-        made = neardup.deduplicated(docs, cell_rows=cell_rows)
-        assert sorted(r.doc_id for r in made.collect()) == sorted(set(group.values()))
-
-
-def test_the_pipeline_stage_is_the_jaccard_one(spark, real):
-    docs = spark.createDataFrame([(i, t) for i, t, *_ in real], "doc_id long, text string")
-    after = {r.doc_id for r in dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, SF).collect()}
-    assert after == set(brute_groups([(i, t) for i, t, *_ in real])[0].values())
-
-
-def test_many_shingle_sets_are_joined(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "SENT_KEYS", 3)
-    rows = near_copies()
-    docs = spark.createDataFrame([*rows, (None, rows[0][1]), (None, "no such text here"), (None, None)], "doc_id long, text string")
-    made = sorted((r.doc_id for r in neardup.deduplicated(docs).collect()), key=str)
-    assert made == sorted([*set(brute_groups(rows)[0].values()), None], key=str)
-
-
 # 3: passages
 
 
@@ -534,6 +492,36 @@ def test_scan_equals_a_search_of_the_whole_text():
         assert not brute_spans(secrets.redacted(text, " [x] ")) or "[x]" in secrets.redacted(text, " [x] ")
 
 
+def test_added_kinds_equal_a_search_of_the_whole_text():
+    whole = {
+        "jwt": next(k.pattern for k in secrets.KINDS if k.name == "jwt"),
+        "key": re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----[A-Za-z0-9+/=\s:,-]*?-----END \1-----"),
+    }
+    passes = {k.name: k.passes for k in secrets.KINDS}
+    rng = random.Random(8)
+    header = base64.urlsafe_b64encode(b'{"alg":"HS256"}').decode().rstrip("=")
+    parts = [
+        header, "eyJ", "eyJhbGc", ".", "-", "x", " ", "\n", "é", "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----",
+        "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", "-----", "END RSA PRIVATE KEY-----", "MIIE+/=", "!",
+    ]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        for name, pattern in whole.items():
+            want = [m.span() for m in pattern.finditer(text) if passes[name](m)]
+            assert [(a, b) for a, b, k in secrets.scan(text) if secrets.KINDS[k].name == name] == want, text
+
+
+@pytest.mark.parametrize("part", [
+    "eyJ", "eyJa.", "-----BEGIN RSA PRIVATE KEY-----\n", "-----BEGIN A PRIVATE KEY-----END B PRIVATE KEY-----", "token", "token: ",
+    "akia", "AKIA", "IBAN ", "ghp_", "password=", "0123456789abcdef", "-----begin ", "secret\"",
+])
+def test_long_texts_take_linear_time(part):
+    text = part * (4_000_000 // len(part))
+    begun = time.process_time()
+    secrets.scan(text)
+    assert time.process_time() - begun < 5 * 4
+
+
 def test_checksums_decide():
     digits = secrets._BASE62
     body, value, check = "A1b2" * 7 + "zz", 0, ""
