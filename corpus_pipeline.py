@@ -11,30 +11,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import contamination, mixing, neardup, quality, secrets, simhash
-from larkspur.llm.common import prepared, table, written
+from larkspur.llm import contamination, mixing, quality, secrets, simhash
+from larkspur.llm.common import prepared, set_aside, table, written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier scores 0.5 or more; the others go."""
     prepared(spark)
+    docs, back = set_aside(docs)
     field = quality.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return quality.score(docs, field).where("__score >= 0.5").select(*_names(docs))
+    return back(quality.score(docs, field).where("__score >= 0.5"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash within 4 bits over 5-word shingles; no stage, see below."""
-    prepared(spark)
-    return simhash.deduplicated(docs, width=5)
-
-
-def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest id.
+    """One document of each group of SimHash fingerprints, that with the smallest id.
 
-    Documents are linked by an exact Jaccard similarity of 0.8 or more of their 5-word shingles.
+    Shingles of four words and four bits of distance, as in the operator's own query.
     """
     prepared(spark)
-    return neardup.deduplicated(docs)
+    return simhash.deduplicated(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,6 +50,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A column of ``docs`` with one of these names is replaced.
     """
     prepared(spark)
+    names = docs.columns
+    docs, _ = set_aside(docs)
     new = {
         "size": F.col("__size"),
         "source_size": F.col("__total"),
@@ -62,17 +59,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "copies": F.col("__copies"),
         "taken": F.col("__copies") * F.col("__size"),
     }
-    old = [F.col(f"`{c}`") for c in docs.columns if c not in new]
+    old = [F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names) if n.lower() not in new]
     return mixing.mix(docs).select(*old, *(column.alias(name) for name, column in new.items()))
 
 
-def _names(docs: DataFrame) -> list[str]:
-    return [f"`{c}`" for c in docs.columns]
-
-
 STAGES = [
     ("quality_classifier", keep_quality),
-    ("simhash_near_dedup", drop_similar),
+    ("simhash_near_dedup", drop_near_duplicates),
     ("benchmark_decontamination", drop_contaminated),
     ("secret_scan", redact_secrets),
     ("source_mixing", mix_sources),
