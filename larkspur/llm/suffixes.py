@@ -188,6 +188,7 @@ def sent_anchors(docs: DataFrame, length: int, ranges: int, common) -> DataFrame
         for batch in slices(batches):
             doc, twin = np.asarray(batch.column("doc"), np.int64), np.asarray(batch.column("twin"), np.int32)
             row, place, gram, around = anchors(_bytes(batch.column("text").to_pylist()), length, seldom)
+            gram = _mix(gram * _ODD)  # anchors have the least hashes; ranges need even ones
             held.append((gram, around, doc[row], twin[row], place.astype(np.int32)))
             number += len(row)
             if number >= HELD:
