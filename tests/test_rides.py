@@ -55,6 +55,19 @@ def test_candidates_and_reuse(spark, target, slot, location_wins):
     assert state == set(final)
 
 
+def test_a_busy_driver_is_cut_like_its_block(spark):
+    """A driver with a third of all rows: counts do not depend on how many pieces its rows fall into."""
+    rng = random.Random(2)
+    events = [
+        {**e, "driver_id": 1, "block_id": 1} if e["driver_id"] is not None and rng.random() < 0.4 else e
+        for e in make_events(seed=31, n=900)
+    ]
+    expected = {r["seq"]: r["drivers"] for r in replay(events, False)[0]}
+    for target, slot in [(20, 5), (200, 50), (1_000_000, 1000)]:
+        counts = rides.available_driver_count(frame(spark, events), target, slot).collect()
+        assert {r.seq: r.drivers for r in counts} == expected
+
+
 @pytest.mark.parametrize("target,slot", CUTS)
 def test_counts_and_surge(spark, target, slot):
     events = make_events()
