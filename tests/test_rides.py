@@ -2,9 +2,11 @@ import random
 
 import pytest
 
+from larkspur.functions import pairs
 from larkspur.functions.dispatch import Board, Driver
 from larkspur.operators import dispatching, rides
 from larkspur.sources.files import TRACE_SCHEMA
+from tests.conftest import plan_text
 from tests.replay import replay
 
 NAMES = [c.split()[0] for c in TRACE_SCHEMA.split(", ")]
@@ -133,3 +135,21 @@ def test_ties_go_to_the_first_in_text_order():
     for driver in (9, 10, 2):
         board.put(driver, Driver(0.0, 0.0, "M", 5.0, 0.0, 0, driver))
     assert [board.request(0.0, 0.0, "N").driver_id for _ in range(3)] == [10, 2, 9]
+
+
+@pytest.mark.parametrize("chunk", [1, 1 << 17])
+def test_pairs_are_never_rows_of_a_sort(spark, monkeypatch, chunk):
+    """Best matches score pairs inside a piece: no plan step joins, sorts or shuffles them."""
+    monkeypatch.setattr(pairs, "PAIRS", chunk)
+    events = [{**e, "rating": None if e["seq"] % 11 == 0 else e["rating"]} for e in make_events(5, 300)]
+    trace = frame(spark, events + events[-40:])  # repeated rows are one request
+    best = rides.match_reuse(trace)
+    plan = plan_text(best)
+    assert "FlatMapGroupsInArrow" in plan and "request_latitude" not in plan.split("FlatMapGroupsInArrow")[0]
+    expected = {}
+    scored = rides.scored_candidates(rides.request_driver_candidates(trace)).collect()
+    for r in scored:
+        if r.score is not None and r.score > 0:
+            here = (-r.score, str(r.driver_id))
+            expected[r.seq] = min(expected.get(r.seq, here), here)
+    assert {r.seq: r.driver_id for r in best.collect()} == {k: int(v[1]) for k, v in expected.items()}
