@@ -17,12 +17,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import add_columns, lowered, prepared, ragged, slices, table
+from larkspur.llm.common import add_columns, lowered, prepared, ragged, slices, table, written
 from larkspur.plans.registry import Query
 
 BUCKETS = 1 << 16
-#: Trusted documents: at most so many of the rows labelled good, in the order of a hash of the id.
-TRUSTED_ROWS = 20_000
+#: Ids of trusted documents up to which they are sent to all tasks; more meet the texts in a shuffled join.
+SENT_IDS = 2_000_000
 #: Share of trusted documents that may fall below the threshold.
 TRUSTED_LOSS = 0.005
 SYMBOLS = b"#*$%&|<>"
@@ -131,29 +131,62 @@ def bucket_counts(docs: DataFrame, buckets: int) -> np.ndarray:
     return counts
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, bound: int = TRUSTED_ROWS) -> Ratios:
+def ordered_keys(values: np.ndarray) -> np.ndarray:
+    """Integers in the order of the doubles ``values``."""
+    bits = values.view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64((1 << 63) - 1))
+
+
+def nth_key(keys: DataFrame, n: int) -> int:
+    """The n-th smallest (from 0) of the column ``key``, 16 bits at a time from the highest."""
+    found = 0
+    for shift in (48, 32, 16, 0):
+        digit = F.shiftright("key", shift) if shift == 48 else F.shiftright("key", shift).bitwiseAND(0xFFFF)
+        for value, rows in sorted(map(tuple, keys.groupBy(digit).count().collect())):  # at most 65,536 rows
+            if n < rows:
+                break
+            n -= rows
+        found |= value << shift
+        keys = keys.where(F.shiftright("key", shift) == found >> shift)
+    return found
+
+
+def quantile(keys: DataFrame, share: float) -> float:
+    """The ``share`` quantile of the doubles behind ``ordered_keys``, interpolated between two neighbours."""
+    at = (keys.count() - 1) * share
+    low, high = int(np.floor(at)), int(np.ceil(at))
+    ends = np.array([nth_key(keys, n) for n in (low, high)], np.int64)
+    values = (ends ^ ((ends >> 63) & np.int64((1 << 63) - 1))).view(np.float64)
+    return float(np.quantile(values, at - low))
+
+
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> Ratios:
     """Multinomials of the corpus and of trusted documents, and the threshold between them.
 
-    The corpus counts cover all documents. Trusted are the documents labelled quality 1 (at most
-    ``bound``). Both multinomials mix in the uniform one with one count a bucket. The threshold is
-    the TRUSTED_LOSS quantile of the trusted documents' means. Without labels everything is kept.
+    The corpus counts cover all documents, the trusted ones all that are labelled quality 1. Both
+    multinomials mix in the uniform one with one count a bucket. The threshold is the exact
+    TRUSTED_LOSS quantile of the trusted documents' means. Without labels everything is kept.
     """
-    good = labels.groupBy("doc_id").agg(F.min("quality").alias("__q")).where("__q = 1").select("doc_id")
-    trusted = labelled(docs.select("doc_id", "text"), good, bound)
+    good = written(
+        labels.groupBy("doc_id").agg(F.min("quality").alias("__q")).where("__q = 1").select("doc_id"), "trusted"
+    )
+    ids = F.broadcast(good) if good.count() <= SENT_IDS else good
+    trusted = docs.select("doc_id", "text").join(ids, "doc_id")
     raw, target = bucket_counts(docs, buckets), bucket_counts(trusted, buckets)
     if not target.sum():
         return Ratios(np.zeros(buckets), -np.inf)
     share = [np.log((c + 1) / (c.sum() + buckets)) for c in (target, raw)]
     weights = share[0] - share[1]
-    probe = Ratios(weights, -np.inf)
+    probe = docs.sparkSession.sparkContext.broadcast(Ratios(weights, -np.inf))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             texts = [lowered(t).split() for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(probe.means(*word_numbers(texts)))], names=["m"])
+            means = probe.value.means(*word_numbers(texts))
+            yield pa.RecordBatch.from_arrays([pa.array(ordered_keys(means))], names=["key"])
 
-    means = [m for (m,) in trusted.select("text").mapInArrow(score, "m double").toLocalIterator()]
-    return Ratios(weights, float(np.quantile(np.array(means), TRUSTED_LOSS)))
+    keys = written(trusted.select("text").mapInArrow(score, "key long"), "means")
+    return Ratios(weights, quantile(keys, TRUSTED_LOSS))
 
 
 def apply_rules(docs: DataFrame, ratios: Ratios, drop: tuple[str, ...] = ()) -> DataFrame:

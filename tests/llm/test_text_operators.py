@@ -707,3 +707,29 @@ def test_ratio_threshold_spares_good_documents(spark):
     rows = [r for r in QUERIES["op10_rules"].plan(spark, sf).collect() if r.doc_id in truth and not r.base_failed]
     good, bad = ([r.kept for r in rows if truth[r.doc_id] == q] for q in (1, 0))
     assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.1 * len(bad)
+
+
+@pytest.mark.parametrize("sent", [0, 1 << 20])
+def test_all_trusted_documents_are_counted(spark, monkeypatch, sent):
+    """No bound on the trusted documents: counts and the exact threshold cover each of them."""
+    monkeypatch.setattr(rules, "SENT_IDS", sent)
+    rng = np.random.default_rng(3)
+    n = 20_500
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 300, 3)) for _ in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    ratios = rules.fit(docs, labels, 1 << 8)
+    assert not ratios.weights.any()  # trusted are all documents, so both multinomials agree
+    odd = docs.withColumn("text", F.when(F.col("doc_id") % 2 == 0, "a b c d").otherwise(F.col("text")))
+    ratios = rules.fit(odd, labels.where("doc_id % 2 = 1 or doc_id % 40 = 0"), 1 << 8)
+    kept = [t for i, t in enumerate(texts) if i % 2] + ["a b c d"] * sum(i % 40 == 0 for i in range(n))
+    means = ratios.means(*rules.word_numbers([t.encode().split() for t in kept]))
+    assert ratios.threshold == np.quantile(means, rules.TRUSTED_LOSS)
+
+
+def test_nth_key_of_any_doubles(spark):
+    values = np.array([0.5, -0.25, -3e300, 1e-300, -1e-300, 0.5, 7.0, -0.25, 0.0])
+    keys = spark.createDataFrame([(int(k),) for k in rules.ordered_keys(values)], "key long")
+    order = np.sort(rules.ordered_keys(values))
+    assert [rules.nth_key(keys, n) for n in range(len(values))] == order.tolist()
+    assert rules.quantile(keys, 0.3) == np.quantile(values, 0.3)
