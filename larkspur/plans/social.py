@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from larkspur.operators import social as ops
 from larkspur.plans.registry import Plan, Query
 from larkspur.plans.tables import (
+    FILES_PER_TRIGGER,
     LINKS_SQL,
     POSTS_SQL,
     USERS_SQL,
@@ -20,7 +21,7 @@ from larkspur.plans.tables import (
     users,
     with_clauses,
 )
-from larkspur.session import scratch_path
+from larkspur.session import materialise, scratch_path
 from larkspur.sources.clustered import SocialTables
 from larkspur.streaming.timelines import timelines_at, timelines_query
 
@@ -46,8 +47,8 @@ def _streamed_timelines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("links", links(spark, sf_dir), F.pmod(F.xxhash64("src", "dst"), F.lit(1000))),
     ):
         folders[name] = scratch_path(spark, name)
-        in_slices(rows, folders[name], arrives, 3)
-        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 16)
+        in_slices(materialise(rows, name), folders[name], arrives, 3, FILES_PER_TRIGGER)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
         streams.append(stream.parquet(folders[name]))
     query, checkpoint = timelines_query(*streams, celebrity=30)
     query.awaitTermination()

@@ -111,12 +111,24 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def in_slices(df: DataFrame, folder: str, arrives: Column, number: int = 6) -> None:
-    """Write ``df`` as the files of a stream: slice after slice of the time at which rows arrive."""
+#: Rows of a file of a slice, at most, where the number of files is bounded.
+FILE_ROWS = 2_000_000
+
+
+def in_slices(
+    df: DataFrame, folder: str, arrives: Column, number: int = 6, files: int | None = None
+) -> None:
+    """Write ``df`` as the files of a stream: slice after slice of the time at which rows arrive.
+
+    With ``files``, a slice has at most so many (more only beyond ``FILE_ROWS`` rows each), so that the
+    number of micro-batches does not follow the number of tasks that made ``df``.
+    """
     low, high = df.agg(F.min(arrives), F.max(arrives)).first()
     place = F.floor((arrives - F.lit(low or 0)) * number / F.lit((high or 0) - (low or 0) + 1))
     for k in range(number):
-        df.where(place == k).write.mode("append").parquet(folder)
+        part = df.where(place == k)
+        writer = part.coalesce(files).write.option("maxRecordsPerFile", FILE_ROWS) if files else part.write
+        writer.mode("append").parquet(folder)
 
 
 def kv_ops(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,11 +10,11 @@ timeline, and one beyond a reader's newest k never comes back, so both states st
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator, Mapping
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -27,8 +27,10 @@ K = 30
 CELEBRITY = 10_000
 
 _SENT = "user_id bigint, uid bigint, pid bigint, at bigint, timestamp string, content string"
-_POST = "at bigint, timestamp string, content string"
-_NAMES = [part.split()[0] for part in _SENT.split(", ")]
+_POST = "at: bigint, timestamp: string, content: string"
+
+
+_sent = Row(*(part.split()[0] for part in _SENT.split(", ")))
 
 
 def _age(post: tuple) -> tuple:
@@ -36,63 +38,51 @@ def _age(post: tuple) -> tuple:
     return (post[1] is None, -(post[1] or 0), post[0])
 
 
-def _whole(value: Any) -> int | None:
-    return None if pd.isna(value) else int(value)
-
-
 class AuthorProcessor(StatefulProcessor):
-    """Newest posts and followers of an author; sends posts to followers, or names itself to be read."""
+    """Newest posts and followers of an author; sends posts to followers, or names itself to be read.
+
+    Each variable is one value, read and written once for a delivery: a call to the state store for
+    each post or follower costs more than all else.
+    """
 
     def __init__(self, k: int = K, celebrity: int = CELEBRITY) -> None:
         self.k, self.celebrity = k, celebrity
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getMapState("recent", "pid bigint", _POST)
-        self.followers = handle.getMapState("followers", "user_id bigint", "known boolean")
-        self.number = handle.getValueState("number", "followers bigint, pulled boolean")
-
-    def handleInputRows(
-        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-    ) -> Iterator[pd.DataFrame]:
-        uid = int(key[0])
+        self.recent = handle.getValueState("recent", f"posts array<struct<pid: bigint, {_POST}>>")
+        self.links = handle.getValueState("links", "followers binary, pulled boolean")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        uid = key[0]
         new, added = {}, {}
-        for frame in rows:
-            for reader, pid, at, text, content in frame[["user_id", "pid", "at", "timestamp", "content"]].itertuples(
-                index=False, name=None
-            ):
-                if _whole(reader) is not None:
-                    added[_whole(reader)] = True
-                elif _whole(pid) is not None:
-                    new[_whole(pid)] = (_whole(pid), _whole(at), text, content)
-        number, pulled = self.number.get() if self.number.exists() else (0, False)
-
-        known = [(k[0], *v) for k, v in self.recent.iterator()]
-        before = {post[0] for post in known}
+        for row in rows:
+            if row.user_id is not None:
+                added[row.user_id] = True
+            elif row.pid is not None:
+                new[row.pid] = (row.pid, row.at, row.timestamp, row.content)
+        stored = self.links.get()
+        old, pulled = (array("q", bytes(stored[0])), stored[1]) if stored else (array("q"), False)
+
+        known = _posts(self.recent)
         kept = sorted([p for p in known if p[0] not in new] + list(new.values()), key=_age)[: self.k]
         fresh = [p for p in kept if p[0] in new]
-        for post in fresh:
-            self.recent.updateValue((post[0],), post[1:])
-        for pid in before - {p[0] for p in kept}:
-            self.recent.removeKey((pid,))
+        if fresh:
+            self.recent.update((kept,))
 
-        sent: list[tuple] = []
         if pulled:
-            sent += [(reader, uid, None, None, None, None) for reader in added]
-        else:
-            old = [k[0] for k in self.followers.keys()] if fresh or number + len(added) > self.celebrity else []
-            added = [reader for reader in added if not self.followers.containsKey((reader,))]
-            number += len(added)
-            if number > self.celebrity:
-                pulled = True
-                sent += [(reader, uid, None, None, None, None) for reader in [*old, *added]]
-                self.followers.clear()
-            else:
-                for reader in added:
-                    self.followers.updateValue((reader,), (True,))
-                    sent += [(reader, uid, *post) for post in kept]
-                sent += [(reader, uid, *post) for reader in old for post in fresh]
-            self.number.update((number, pulled))
-        yield _frame(sent)
+            yield from (_sent(reader, uid, None, None, None, None) for reader in added)
+            return
+        if added:
+            followed = set(old)
+            added = [reader for reader in added if reader not in followed]
+        if len(old) + len(added) > self.celebrity:
+            self.links.update((b"", True))
+            yield from (_sent(reader, uid, None, None, None, None) for reader in (*old, *added))
+            return
+        if added:
+            self.links.update(((old + array("q", added)).tobytes(), False))
+            yield from (_sent(reader, uid, *post) for reader in added for post in kept)
+        yield from (_sent(reader, uid, *post) for reader in old for post in fresh)
 
 
 class ReaderProcessor(StatefulProcessor):
@@ -102,34 +92,38 @@ class ReaderProcessor(StatefulProcessor):
         self.k = k
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.inbox = handle.getMapState("inbox", "uid bigint, pid bigint", _POST)
-        self.pulls = handle.getMapState("pulls", "uid bigint", "known boolean")
-
-    def handleInputRows(
-        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-    ) -> Iterator[pd.DataFrame]:
-        new = {}
-        for frame in rows:
-            for uid, pid, at, text, content in frame[_NAMES[1:]].itertuples(index=False, name=None):
-                if _whole(pid) is None:
-                    self.pulls.updateValue((int(uid),), (True,))
-                else:
-                    new[int(uid), int(pid)] = (_whole(at), text, content)
+        self.inbox = handle.getValueState("inbox", f"posts array<struct<uid: bigint, pid: bigint, {_POST}>>")
+        self.pulls = handle.getValueState("pulls", "uids array<bigint>")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        new, asked = {}, set()
+        for row in rows:
+            if row.pid is None:
+                asked.add(row.uid)
+            else:
+                new[row.uid, row.pid] = (row.uid, row.pid, row.at, row.timestamp, row.content)
+            if len(new) >= 1000 + self.k:  # what is not among the k newest now never will be
+                new = {p[:2]: p for p in sorted(new.values(), key=_inbox_age)[: self.k]}
+        if asked:
+            stored = self.pulls.get()
+            known = set(stored[0]) if stored else set()
+            if not asked <= known:
+                self.pulls.update((sorted(known | asked),))
         if new:
-            known = dict(self.inbox.iterator())
-            merged = sorted({**known, **new}.items(), key=lambda p: (*_age((p[0][1], p[1][0])), p[0][0]))
-            for place, post in merged[: self.k]:
-                if place in new:
-                    self.inbox.updateValue(place, post)
-            for place, _ in merged[self.k :]:
-                if place in known:
-                    self.inbox.removeKey(place)
-        yield _frame([])
+            merged = {p[:2]: p for p in _posts(self.inbox)} | new
+            self.inbox.update((sorted(merged.values(), key=_inbox_age)[: self.k],))
+        return iter(())
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    whole = dict.fromkeys(("user_id", "uid", "pid", "at"), "Int64")
-    return pd.DataFrame(rows, columns=_NAMES).astype(whole)
+def _posts(state: Any) -> list[tuple]:
+    """Posts kept in a value of one array."""
+    stored = state.get()
+    return [tuple(post) for post in stored[0]] if stored else []
+
+
+def _inbox_age(post: tuple) -> tuple:
+    """(uid, pid, at, ...) from newest to oldest, as ``_age``, then by author."""
+    return (*_age(post[1:]), post[0])
 
 
 def fan_out(
@@ -151,7 +145,7 @@ def fan_out(
         F.col("dst").cast("bigint").alias("uid"), F.col("src").cast("bigint").alias("user_id")
     )
     both = wrote.unionByName(joined, allowMissingColumns=True)
-    return both.groupBy("uid").transformWithStateInPandas(
+    return both.groupBy("uid").transformWithState(
         AuthorProcessor(k, celebrity), outputStructType=_SENT, outputMode="Append", timeMode="None"
     )
 
@@ -166,7 +160,7 @@ def timelines_query(
 ) -> tuple[StreamingQuery, str]:
     """Start the stream that keeps all timelines; its checkpoint is what ``timelines_at`` reads."""
     checkpoint = checkpoint or scratch_path(posts.sparkSession, "timelines")
-    kept = fan_out(posts, follows, k, celebrity).groupBy("user_id").transformWithStateInPandas(
+    kept = fan_out(posts, follows, k, celebrity).groupBy("user_id").transformWithState(
         ReaderProcessor(k), outputStructType=_SENT, outputMode="Append", timeMode="None"
     )
     query = kept.writeStream.format("noop").option("checkpointLocation", checkpoint).trigger(**trigger).start()
@@ -190,17 +184,15 @@ def timelines_at(
     celebrities are looked up in their authors' state, one join for all readers.
     """
     inbox = _variable(spark, checkpoint, "inbox").select(
-        F.col("key.user_id").alias("user_id"), "user_map_key.uid", "user_map_key.pid", "user_map_value.*"
+        F.col("key.user_id").alias("user_id"), F.inline("value.posts")
     )
     pulls = _variable(spark, checkpoint, "pulls").select(
-        F.col("key.user_id").alias("user_id"), F.col("user_map_key.uid").alias("uid")
+        F.col("key.user_id").alias("user_id"), F.explode("value.uids").alias("uid")
     )
     if ids is not None:
         wanted = ids.select("user_id").distinct()
         inbox, pulls = (part.join(wanted, "user_id", "left_semi") for part in (inbox, pulls))
-    recent = _variable(spark, checkpoint, "recent").select(
-        F.col("key.uid").alias("uid"), F.col("user_map_key.pid").alias("pid"), "user_map_value.*"
-    )
+    recent = _variable(spark, checkpoint, "recent").select(F.col("key.uid").alias("uid"), F.inline("value.posts"))
     # what a reader received before an author became a celebrity is in the author's state too, or old
     received = inbox.join(pulls, ["user_id", "uid"], "left_anti")
     both = received.unionByName(pulls.join(recent, "uid").select(*received.columns))

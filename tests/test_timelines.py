@@ -4,9 +4,14 @@ import json
 import os
 import random
 import time
+from types import SimpleNamespace
+
+from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from larkspur.operators.social import timeline_posts
-from larkspur.streaming.timelines import fan_out, timelines_at, timelines_query
+from larkspur.plans.tables import in_slices
+from larkspur.streaming.timelines import AuthorProcessor, ReaderProcessor, fan_out, timelines_at, timelines_query
 
 POSTS = "uid long, pid long, timestamp string, content string"
 FOLLOWS = "src long, dst long"
@@ -67,3 +72,40 @@ def test_a_celebrity_post_writes_no_row_for_its_followers(spark, tmp_path):
     sent = serve()
     assert sent.where("uid = 1 AND pid IS NOT NULL").count() == 0
     assert sent.where("pid = 3").count() == 10
+
+
+class Value:
+    """A state variable of one value that counts the calls to it."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+
+def test_a_delivery_costs_few_calls_to_the_state():
+    made = []
+    handle = SimpleNamespace(getValueState=lambda name, schema: made.append(Value()) or made[-1])
+    author, reader = AuthorProcessor(k=5), ReaderProcessor(k=5)
+    author.init(handle), reader.init(handle)
+    row = Row("user_id", "uid", "pid", "at", "timestamp", "content")
+    rows = [row(u, 1, None, None, None, None) for u in range(500)] + [row(None, 1, p, p, "t", "c") for p in range(40)]
+    sent = list(author.handleInputRows((1,), iter(rows), None))
+    assert sorted((s.user_id, s.pid) for s in sent) == [(u, p) for u in range(500) for p in range(35, 40)]
+    rows = [row(7, a, p, p, "t", "c") for a in range(9) for p in range(400)]
+    assert list(reader.handleInputRows((7,), iter(rows), None)) == []
+    assert [p[:2] for p in made[2].value[0]] == [(a, 399) for a in range(5)]
+    assert sum(v.calls for v in made) <= 8
+
+
+def test_slices_have_few_files(spark, tmp_path):
+    rows = spark.range(600).repartition(6)
+    in_slices(rows, str(tmp_path / "s"), F.col("id"), 3, files=2)
+    assert len(list((tmp_path / "s").glob("*.parquet"))) <= 6
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "s")).collect()) == list(range(600))
