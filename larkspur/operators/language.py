@@ -6,6 +6,7 @@ the text reaches its reducer as one row per map task.
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Iterator
 
@@ -13,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from larkspur.functions import grams
 from larkspur.functions.text import (
     clean_text,
     head_words,
@@ -25,6 +27,10 @@ from larkspur.session import materialise, ship_package
 
 NMAX = 5
 MIN_COUNT = 3
+#: Words of a block whose grams are counted together.
+BLOCK_WORDS = 1 << 19
+#: Hashes that meet in a task, about.
+RANGE_KEYS = 1 << 22
 
 
 def word_arrays(text: DataFrame, column: str = "text") -> DataFrame:
@@ -42,11 +48,15 @@ def ngram_count(
     nmax: int = NMAX,
     min_count: int = MIN_COUNT,
     observation: Observation | None = None,
+    block_words: int = BLOCK_WORDS,
+    range_keys: int = RANGE_KEYS,
 ) -> DataFrame:
     """Counts of all 1..nmax-grams that occur at least ``min_count`` times.
 
-    Start positions are exploded, then the lengths from there, so no array of all grams of a text
-    is built. ``observation`` receives ``emitted``, the number of
+    Most grams are rare, so their text is not shuffled. Texts are written once, in blocks; a block
+    sends hashes of its grams, cut into ranges, and is told which may be frequent. Only those become
+    text and are counted, so hashes spare work and never change a count. What fits one block, and
+    single words, are counted directly. ``observation`` receives ``emitted``, the number of
     grams counted.
     """
     words = word_arrays(text)
@@ -54,6 +64,65 @@ def ngram_count(
         words = words.observe(
             observation, F.sum(ngram_total(F.col("words"), nmax)).alias("emitted")
         )
+    if nmax < 2 or min_count < 2:
+        return _counted_directly(words, nmax, min_count)
+    ship_package(text.sparkSession)
+    packed = words.mapInArrow(lambda batches: grams.blocks_of(batches, block_words), grams.BLOCK_DDL)
+    blocks = materialise(packed.withColumn("block", F.monotonically_increasing_id()), "blocks")
+    total = blocks.agg(F.sum("tokens")).first()[0] or 0
+    if total <= block_words:
+        return _counted_directly(word_arrays(text), nmax, min_count)
+    bits = max(0, math.ceil(math.log2(total * (nmax - 1) / range_keys)))
+    return (
+        _frequent_grams(blocks, nmax, min_count, bits)
+        .groupBy("gram")
+        .agg(F.sum("cnt").alias("cnt"))
+        .filter(F.col("cnt") >= min_count)
+        .select("gram", F.size(F.split("gram", " ")).alias("n"), "cnt")
+    )
+
+
+def _frequent_grams(blocks: DataFrame, nmax: int, min_count: int, bits: int) -> DataFrame:
+    """(gram, cnt) in each block, without grams whose hash is rare in all blocks together."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in range(batch.num_rows):
+                rows = list(grams.sent(_block(batch, n), nmax, min_count, bits))
+                if rows:
+                    part, hashes, counts = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "part": pa.array(part, pa.int32()),
+                            "block": pa.array([batch.column("block")[n].as_py()] * len(rows), pa.int64()),
+                            "hashes": pa.array(hashes, pa.binary()),
+                            "counts": pa.array(counts, pa.binary()),
+                        }
+                    )
+
+    def answer(sums: pa.Table) -> pa.Table:
+        hashes, counts = (sums.column(c).to_pylist() for c in ("hashes", "counts"))
+        told = pa.array(grams.answers(hashes, counts, min_count), pa.binary())
+        return sums.select(["part", "block"]).append_column("told", told)
+
+    def keep(block: pa.Table, told: pa.Table) -> pa.Table:
+        known = dict(zip(told.column("part").to_pylist(), told.column("told").to_pylist(), strict=True))
+        return grams.frequent(_block(block, 0), nmax, known, bits)
+
+    messages = blocks.select("block", "vocabulary", "codes", "lengths").mapInArrow(
+        send, "part int, block long, hashes binary, counts binary"
+    )
+    told = messages.groupBy("part").applyInArrow(answer, "part int, block long, told binary")
+    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(keep, "gram string, cnt long")
+
+
+def _block(rows: pa.RecordBatch | pa.Table, n: int) -> grams.Block:
+    words = rows.column("vocabulary")[n].values
+    return grams.Block(words, rows.column("codes")[n].as_py(), rows.column("lengths")[n].as_py())
+
+
+def _counted_directly(words: DataFrame, nmax: int, min_count: int) -> DataFrame:
+    """Start positions are exploded, then the lengths from there, so no array of all grams is built."""
     starts = words.select(
         "words", F.explode(F.sequence(F.lit(1), F.size("words"))).alias("start")
     )

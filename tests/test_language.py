@@ -1,8 +1,12 @@
+import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Observation
 
+from larkspur.functions import grams
 from larkspur.operators import language as ops
 from larkspur.sources.files import parse_articles
 from larkspur.sources.sinks import to_wide_rows
@@ -70,3 +74,19 @@ def test_plans_reduce_before_the_shuffle(spark):
     assert "partial_count" in plan_text(grams)
     assert "WindowGroupLimit" in plan_text(ops.word_completion(ops.unigrams(grams)))
     assert "WindowGroupLimit" in plan_text(ops.next_word(grams))
+
+
+def test_rare_grams_are_not_shuffled_as_text(spark):
+    rng = random.Random(3)
+    lines = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(rng.randint(0, 40))) for _ in range(120)]
+    lines += [lines[0]] * 3 + ["solo"]
+    for limits in ({"block_words": 50, "range_keys": 64}, {"block_words": 700, "range_keys": 1 << 20}):
+        got = {r.gram: (r.n, r.cnt) for r in ops.ngram_count(text(spark, *lines), **limits).collect()}
+        direct = {r.gram: (r.n, r.cnt) for r in ops.ngram_count(text(spark, *lines)).collect()}
+        assert got == direct and max(n for n, _ in got.values()) == 5
+    blocks = [grams.Block(pa.array(["a", "b", "c", "d"]), np.array(c, np.int32).tobytes(), np.array([len(c)], np.int32).tobytes())
+              for c in ([0, 1, 2], [0, 1, 3], [3, 0, 1])]
+    sent = [list(grams.sent(b, 2, 3, 0))[0] for b in blocks]
+    told = grams.answers([s[1] for s in sent], [s[2] for s in sent], 3)
+    kept = [grams.frequent(b, 2, {0: bits}, 0).to_pydict()["gram"] for b, bits in zip(blocks, told)]
+    assert [[g for g in k if " " in g] for k in kept] == [["a b"]] * 3
