@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ AVAILABLE = {"availableNow": True}
 MATCH = "seq bigint, client_id bigint, driver_id bigint, score double, price_factor double"
 _DRIVER = "latitude double, longitude double, gender string, rating double, salary double, ts bigint, seq bigint"
 _MOVE = "latitude double, longitude double, ts bigint, seq bigint"
+#: Rows turned into Python values at a time.
+STEP = 8192
 
 
 def ride_stream(locations: DataFrame, events: DataFrame) -> DataFrame:
@@ -51,6 +54,40 @@ def block_key() -> Column:
     return F.coalesce(F.col("block_id").cast("string"), F.lit("")).alias("block")
 
 
+class Rows:
+    """Rows of a block, column by column in arrays, texts as codes: a fraction of what frames and their copies hold."""
+
+    TEXTS = ("action", "gender")
+    COLUMNS = ("action", "party", "ts", "seq", "latitude", "longitude", "gender", "rating", "salary")
+
+    def __init__(self, frames: Iterator[pd.DataFrame]) -> None:
+        self.known: dict[str | None, int] = {None: 0}
+        parts: dict[str, list[np.ndarray]] = {c: [] for c in self.COLUMNS}
+        for frame in frames:
+            for c in self.COLUMNS:
+                parts[c].append(self._codes(frame[c]) if c in self.TEXTS else frame[c].to_numpy(copy=True))
+        self.columns = {c: np.concatenate(parts.pop(c) or [np.empty(0)]) for c in self.COLUMNS}
+        #: Places of the rows in (ts, seq) order, missing ones last, equal ones as they came.
+        self.order = np.lexsort((self.columns["seq"], self.columns["ts"]))
+
+    def _codes(self, texts: pd.Series) -> np.ndarray:
+        codes, values = pd.factorize(texts)
+        whole = [self.known.setdefault(v, len(self.known)) for v in values] + [0]  # -1, a missing text, is the last
+        return np.array(whole, np.int32)[codes]
+
+    def count(self, action: str) -> int:
+        return int(np.count_nonzero(self.columns["action"] == self.known.get(action, -1)))
+
+    def steps(self, first: int, last: int, step: int = STEP) -> Iterator[pd.DataFrame]:
+        """Rows from place ``first`` to before ``last``, some at a time."""
+        texts = np.array(list(self.known), object)
+        for k in range(first, last, step):
+            some = self.order[k : min(k + step, last)]
+            yield pd.DataFrame(
+                {c: texts[v[some]] if c in self.TEXTS else v[some] for c, v in self.columns.items()}
+            )
+
+
 class MatchProcessor(StatefulProcessor):
     """Keeps a block's drivers, positions and last driver count; answers its requests."""
 
@@ -67,19 +104,19 @@ class MatchProcessor(StatefulProcessor):
     def handleInputRows(
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
-        yield self.applied_to(pd.concat(list(rows)))
+        held = Rows(rows)
+        yield from self.applied_to(held, len(held.order))
 
-    def applied_to(self, rows: pd.DataFrame) -> pd.DataFrame:
-        """Apply rows in (ts, seq) order to the block's state; the matches they lead to."""
+    def applied_to(self, rows: Rows, number: int) -> Iterator[pd.DataFrame]:
+        """Apply the first ``number`` rows in (ts, seq) order to the block's state; the matches they lead to."""
         board = Board(self.consume, self.location_wins)
-        batch = rows.sort_values(["ts", "seq"], kind="stable")
-        if (batch["action"] == "request").any():
+        if rows.count("request"):
             board.restore(
                 {driver: Driver(*value) for (driver,), value in self.drivers.iterator()},
                 {driver: Move(*value) for (driver,), value in self.moves.iterator()},
             )
         else:  # without a request only the drivers that rows name can change
-            named = {(int(party),) for party in batch["party"].unique()}
+            named = {(int(party),) for party in np.unique(rows.columns["party"])}
             board.restore(
                 {k[0]: Driver(*self.drivers.getValue(k)) for k in named if self.drivers.containsKey(k)},
                 {k[0]: Move(*self.moves.getValue(k)) for k in named if self.moves.containsKey(k)},
@@ -88,40 +125,45 @@ class MatchProcessor(StatefulProcessor):
             board.previous = self.last.get()[0]
         drivers, moves, previous = dict(board.drivers), dict(board.moves), board.previous
 
-        matches = []
-        for row in batch.itertuples(index=False):
-            if row.action == "put":
-                board.put(
-                    row.party,
-                    Driver(
-                        row.latitude, row.longitude, row.gender, row.rating, row.salary, row.ts, row.seq
-                    ),
-                )
-            elif row.action == "move":
-                board.move(row.party, Move(row.latitude, row.longitude, row.ts, row.seq))
-            elif row.action == "drop":
-                board.drop(row.party)
-            else:
-                price = board.surge()
-                match = board.request(row.latitude, row.longitude, row.gender)
-                if match:
-                    matches.append((row.seq, row.party, *match, price))
+        for frame in rows.steps(0, number):
+            matches = []
+            for row in frame.itertuples(index=False):
+                if row.action == "put":
+                    board.put(
+                        row.party,
+                        Driver(
+                            row.latitude, row.longitude, row.gender, row.rating, row.salary, row.ts, row.seq
+                        ),
+                    )
+                elif row.action == "move":
+                    board.move(row.party, Move(row.latitude, row.longitude, row.ts, row.seq))
+                elif row.action == "drop":
+                    board.drop(row.party)
+                else:
+                    price = board.surge()
+                    match = board.request(row.latitude, row.longitude, row.gender)
+                    if match:
+                        matches.append((row.seq, row.party, *match, price))
+            yield _matches(matches)
 
         _store(self.drivers, drivers, board.drivers)
         _store(self.moves, moves, board.moves)
         if board.previous != previous:
             self.last.update((board.previous,))
-        return pd.DataFrame(
-            matches, columns=["seq", "client_id", "driver_id", "score", "price_factor"]
-        ).astype(
-            {
-                "seq": "int64",
-                "client_id": "int64",
-                "driver_id": "int64",
-                "score": "float64",
-                "price_factor": "float64",
-            }
-        )
+
+
+def _matches(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(
+        rows, columns=["seq", "client_id", "driver_id", "score", "price_factor"]
+    ).astype(
+        {
+            "seq": "int64",
+            "client_id": "int64",
+            "driver_id": "int64",
+            "score": "float64",
+            "price_factor": "float64",
+        }
+    )
 
 
 def _store(state: Any, before: dict, after: dict) -> None:
