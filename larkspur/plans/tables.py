@@ -121,13 +121,19 @@ def in_slices(
     """Write ``df`` as the files of a stream: slice after slice of the time at which rows arrive.
 
     With ``files``, a slice has at most so many (more only beyond ``FILE_ROWS`` rows each), so that the
-    number of micro-batches does not follow the number of tasks that made ``df``.
+    number of micro-batches does not follow the number of tasks that made ``df``. Where that is fewer
+    than there are cores, rows are dealt to the files, so that reading ``df`` still takes all cores.
     """
     low, high = df.agg(F.min(arrives), F.max(arrives)).first()
     place = F.floor((arrives - F.lit(low or 0)) * number / F.lit((high or 0) - (low or 0) + 1))
     for k in range(number):
         part = df.where(place == k)
-        writer = part.coalesce(files).write.option("maxRecordsPerFile", FILE_ROWS) if files else part.write
+        if files:
+            few = files < df.sparkSession.sparkContext.defaultParallelism
+            part = part.repartition(files) if few else part.coalesce(files)
+            writer = part.write.option("maxRecordsPerFile", FILE_ROWS)
+        else:
+            writer = part.write
         writer.mode("append").parquet(folder)
 
 

@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pandas as pd
 
+from larkspur.streaming.ordered import OrderedMatchProcessor
 from larkspur.streaming.rides import MatchProcessor
 
 
@@ -66,6 +67,20 @@ def rides(n, action="move"):
     )
 
 
+def test_ordered_rows_wait_in_packets():
+    store, processor = Store(), OrderedMatchProcessor()
+    processor.init(store)
+    n = 2000
+    asks = pd.DataFrame({**rides(2, "request"), "party": [7, 8], "ts": [n + 5, n + 90], "seq": [n, n + 1], "gender": "N"})
+    deliver(processor, ("1",), rides(n, "put"))
+    deliver(processor, ("1",), asks)
+    assert store.calls < 20
+    first = expire(processor, ("1",), n + 50)
+    assert first[["client_id", "driver_id"]].values.tolist() == [[7, 0]]
+    assert store.timers[-1] == n + 91
+    assert expire(processor, ("1",), n + 100)[["client_id", "driver_id"]].values.tolist() == [[8, 10]]
+
+
 def test_rows_of_a_block_take_little_more_than_their_columns():
     processor, parts, n = MatchProcessor(), 40, 5000
     processor.init(Store())
