@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from larkspur.operators import kvlog as ops
 from larkspur.plans.registry import Query
 from larkspur.plans.tables import KV_OPS_SQL, event_stream, in_slices, kv_ops, kv_ops_of, with_clauses
-from larkspur.session import scratch_path
+from larkspur.session import materialise, scratch_path
 from larkspur.streaming.ordered import as_of_stream, split_sink
 from larkspur.streaming.tables import changes_sink, current_rows, kv_latest_stream
 
@@ -28,9 +28,9 @@ def _streamed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _streamed_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as a stream of files in order of arrival; timestamps are up to 100 hours behind."""
-    log = kv_ops(spark, sf_dir)
+    log = materialise(kv_ops(spark, sf_dir), "operations")
     folder, path, late = (scratch_path(spark, n) for n in ("log", "answers", "late"))
-    in_slices(log, folder, F.col("seq"))
+    in_slices(log, folder, F.col("seq"), files=1)
     end = log.agg(F.max("ts")).first()[0] or 0
     beyond = F.lit(end + 400 * 3_600_000).alias("ts")
     tick = spark.range(1).select(F.lit(0).cast("long").alias("seq"), F.lit("").alias("key"), F.lit("TICK").alias("op"), beyond)

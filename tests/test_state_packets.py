@@ -5,7 +5,8 @@ from types import SimpleNamespace
 
 import pandas as pd
 
-from larkspur.streaming.ordered import OrderedMatchProcessor
+from larkspur.operators.kvlog import MISSING
+from larkspur.streaming.ordered import AsOfProcessor, OrderedMatchProcessor
 from larkspur.streaming.rides import MatchProcessor
 
 
@@ -60,6 +61,35 @@ def deliver(processor, key, frame):
     return list(processor.handleInputRows(key, iter([frame]), None))
 
 
+def test_as_of_calls_the_store_per_packet_not_per_row():
+    store, processor, n = Store(), AsOfProcessor(), 2000
+    processor.init(store)
+    frame = pd.DataFrame({"seq": range(n), "key": "a", "op": ["PUT", "GET"] * (n // 2), "ts": range(n)})
+    deliver(processor, ("a",), frame.assign(value=[str(k) for k in range(n)]))
+    assert store.timers == [1]
+    first = expire(processor, ("a",), 1000)
+    second = expire(processor, ("a",), n + 1)
+    assert dict(zip(first["seq"], first["value"])) == {k: str(k - 1) for k in range(1, 1001, 2)}
+    assert dict(zip(second["seq"], second["value"])) == {k: str(k - 1) for k in range(1001, n, 2)}
+    assert store.calls < 40
+
+
+def test_as_of_ties_missing_values_and_late_rows():
+    store, processor = Store(), AsOfProcessor()
+    processor.init(store)
+    rows = [(1, "GET", 5, None), (2, "PUT", 5, "a"), (4, "PUT", 7, "b"), (3, "PUT", 7, "c"), (5, "GET", 8, None),
+            (6, "PUT", 9, None), (7, "GET", 10, None), (8, "GET", 7, None), (9, "GET", None, None)]
+    frame = pd.DataFrame(rows, columns=["seq", "op", "ts", "value"]).assign(key="k")
+    late = pd.concat(deliver(processor, ("k",), frame))
+    assert list(late["seq"]) == [9] and late["late"].all()
+    found = expire(processor, ("k",), 50)
+    assert {s: None if pd.isna(v) else v for s, v in zip(found["seq"], found["value"])} == {
+        1: MISSING, 5: "b", 7: None, 8: "a",
+    }
+    late = pd.concat(deliver(processor, ("k",), frame.iloc[:1]))
+    assert list(late["seq"]) == [1] and late["late"].all()
+
+
 def rides(n, action="move"):
     return pd.DataFrame(
         {"action": action, "party": [k % 50 for k in range(n)], "ts": range(n, 0, -1), "seq": range(n), "latitude": 1.0,
