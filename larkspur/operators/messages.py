@@ -79,7 +79,16 @@ def run(vertices: DataFrame, edges: DataFrame, program: Program, rounds: int, bl
     It ends after ``rounds``, when nobody is active, or when ``halt`` says so. Ends of edges without a
     row in ``vertices`` neither send nor receive. The state is checkpointed in every round.
     """
-    pairs = distinct_edges(edges)
+    return _run(vertices, _written(edges), program, rounds, block)
+
+
+def _written(edges: DataFrame) -> DataFrame:
+    """Distinct edges, made once: degrees, vertices and layout all read them."""
+    return materialise(distinct_edges(edges), "pairs")
+
+
+def _run(vertices: DataFrame, pairs: DataFrame, program: Program, rounds: int, block: int) -> Run:
+    """``run`` along edges that are distinct."""
     degrees = pairs.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
     copies = F.ceil(F.col("degree") / F.lit(block)).cast("int")
     outgoing = pairs.join(degrees, "src").select(
@@ -159,9 +168,10 @@ def pagerank_program(size: int, damping: float = 0.85, dangling: str = "spread",
 
 def ranked(edges: DataFrame, rounds: int = 10, block: int = BLOCK, **options) -> Run:
     """PageRank of all vertices of ``edges`` from rank 1, as a vertex program."""
-    vertices = materialise(vertex_set(edges), "vertices")
+    pairs = _written(edges)
+    vertices = materialise(vertex_set(pairs), "vertices")
     program = pagerank_program(vertices.count(), **options)
-    return run(vertices.withColumn("rank", F.lit(1.0)), edges, program, rounds, block)
+    return _run(vertices.withColumn("rank", F.lit(1.0)), pairs, program, rounds, block)
 
 
 def connected_components(edges: DataFrame, rounds: int = 1_000, block: int = BLOCK) -> Run:
@@ -169,13 +179,14 @@ def connected_components(edges: DataFrame, rounds: int = 1_000, block: int = BLO
 
     A vertex sends only after its component has changed. Chains longer than ``rounds`` stay open.
     """
-    both = edges.select("src", "dst").union(edges.select("dst", "src"))
-    vertices = vertex_set(edges).withColumn("component", F.col("id"))
+    pairs = _written(edges)
+    both = _written(pairs.select("src", "dst").union(pairs.select("dst", "src")))
+    vertices = vertex_set(pairs).withColumn("component", F.col("id"))
     least = F.least("component", "message")
     program = Program(
         F.col("component"), F.min, {"component": least}, active=F.col("component") < F.col("old_component")
     )
-    return run(vertices, both, program, rounds, block)
+    return _run(vertices, both, program, rounds, block)
 
 
 def influencer(edges: DataFrame, ranks: DataFrame) -> DataFrame:

@@ -79,3 +79,19 @@ def test_influencer_equals_the_joins(spark):
     ranks = spark.createDataFrame([(v, float(v * 7 % 11)) for v in range(40)], "id long, rank double")
     want = graph.influencer_two_hop(edges, ranks)
     assert sorted(messages.influencer(edges, ranks).collect()) == sorted(want.collect())
+
+
+def test_edges_are_derived_once(spark):
+    """Vertices, degrees and layout read the distinct edges as written, not their derivation again."""
+    for job in (lambda e: messages.ranked(e, rounds=1), messages.connected_components):
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(batches, seen=seen):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        rows = [(1, 2), (2, 3), (3, 3), (7, 8)]
+        edges = spark.createDataFrame(rows, "src bigint, dst bigint").coalesce(1).mapInArrow(count, "src bigint, dst bigint")
+        assert job(edges).vertices.count() == 5
+        assert seen.value == len(rows)
