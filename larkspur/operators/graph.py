@@ -20,10 +20,8 @@ def union_all(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def vertex_set(edges: DataFrame) -> DataFrame:
-    """Distinct ids over both edge ends."""
-    return union_all(
-        edges.select(F.col("src").alias("id")), edges.select(F.col("dst").alias("id"))
-    ).distinct()
+    """Distinct ids over both edge ends, from one pass over the edges."""
+    return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
 def dangling_vertices(edges: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions.dates import epoch_millis
-from larkspur.session import spread
+from larkspur.session import dealt, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,8 @@ def raw_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(src, dst) with repeats, as an edge-list file may hold them."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("src"))
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_partkey").alias("dst"))
+    rows = lines.count()
+    orders, lines = dealt(orders, rows, "o_orderkey"), dealt(lines, rows, "l_orderkey")
     return orders.join(lines, orders.o_orderkey == lines.l_orderkey).select("src", "dst")
 
 
@@ -71,7 +73,8 @@ RAW_EDGES_SQL = """raw_edges AS (
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``src`` follows ``dst``; distinct."""
-    return raw_edges(spark, sf_dir).distinct()
+    rows = table(spark, sf_dir, "lineitem").count()
+    return dealt(raw_edges(spark, sf_dir), rows, "src", "dst").distinct()
 
 
 LINKS_SQL = (

@@ -2,8 +2,9 @@ import random
 
 import pytest
 
+from larkspur import session
 from larkspur.operators import graph as ops
-from larkspur.plans.tables import links
+from larkspur.plans.tables import links, raw_edges
 from tests.conftest import plan_text
 
 
@@ -77,3 +78,20 @@ def test_no_cartesian_product(spark):
         spark.range(5).selectExpr("id", "1.0D as rank", "0 as copy"),
     ))
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "partial_sum" in plan
+
+
+def test_vertex_set_reads_its_edges_once_in_bounded_tasks(spark, tmp_path, monkeypatch):
+    """One derivation of the edges for both ends; tasks follow the rows where the session has too few."""
+    orders = [(k, 100 + k % 3) for k in range(40)] + [(None, 7), (3, 55), (3, 55)]
+    lines = [(k % 40, 500 + k % 11) for k in range(90)] + [(None, 8), (5, None), (99, 9)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    want = {(a, d) for k, a in orders for j, d in lines if k is not None and k == j}
+    for task_rows in (1_000_000, 10):
+        monkeypatch.setattr(session, "TASK_ROWS", task_rows)
+        ids = ops.vertex_set(raw_edges(spark, str(tmp_path)))
+        assert plan_text(ids).count("Join") == 1 and "Union" not in plan_text(ids)
+        assert ("REPARTITION_BY_NUM" in plan_text(ids)) == (task_rows == 10)
+        assert sorted((r.id for r in ids.collect()), key=str) == sorted({v for p in want for v in p}, key=str)
+        found = links(spark, str(tmp_path)).collect()
+        assert len(found) == len(want) and {tuple(r) for r in found} == want
