@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from larkspur.session import cut_lineage, materialise
+from larkspur.session import cut_lineage, materialise, more_tasks
 
 
 def follower_count(edges: DataFrame) -> DataFrame:
@@ -180,13 +180,13 @@ def pagerank(
 
 
 def kept_by(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` cached in the layout its joins on ``keys`` need: no exchange and no sort per round.
+    """``df``, a written table, cached in the layout its joins on ``keys`` need: no exchange and no sort per round.
 
     It is filled at once, since a join sees the layout of a filled cache only.
     """
-    kept = (
-        df.repartition(*keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    tasks = more_tasks(df, df.count())
+    laid = df.repartition(tasks, *keys) if tasks else df.repartition(*keys)
+    kept = laid.sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
     kept.count()
     return kept
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators.graph import distinct_edges, kept_by, vertex_set
-from larkspur.session import cut_lineage, materialise
+from larkspur.session import cut_lineage, dealt, materialise
 
 BLOCK = 1_000_000
 
@@ -91,8 +91,10 @@ def _run(vertices: DataFrame, pairs: DataFrame, program: Program, rounds: int, b
     """``run`` along edges that are distinct."""
     degrees = pairs.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
     copies = F.ceil(F.col("degree") / F.lit(block)).cast("int")
-    outgoing = pairs.join(degrees, "src").select(
-        "src", F.pmod(F.xxhash64("dst"), copies).cast("int").alias("copy"), "dst"
+    # few senders are that large: only they meet the edges, so that those are neither shuffled nor sorted here
+    large = materialise(degrees.where(F.col("degree") > F.lit(block)), "large")
+    outgoing = pairs.where(F.col("src").isNotNull()).join(large, "src", "left").select(
+        "src", F.coalesce(F.pmod(F.xxhash64("dst"), copies), F.lit(0)).cast("int").alias("copy"), "dst"
     )
     laid_out = kept_by(materialise(outgoing, "outgoing"), "src", "copy")
     names = [c for c in vertices.columns if c != "id"]
@@ -180,7 +182,8 @@ def connected_components(edges: DataFrame, rounds: int = 1_000, block: int = BLO
     A vertex sends only after its component has changed. Chains longer than ``rounds`` stay open.
     """
     pairs = _written(edges)
-    both = _written(pairs.select("src", "dst").union(pairs.select("dst", "src")))
+    ways = pairs.select("src", "dst").union(pairs.select("dst", "src"))
+    both = _written(dealt(ways, 2 * pairs.count(), "src", "dst"))
     vertices = vertex_set(pairs).withColumn("component", F.col("id"))
     least = F.least("component", "message")
     program = Program(

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from larkspur import session
 from larkspur.operators import graph, messages
 
 
@@ -95,3 +96,17 @@ def test_edges_are_derived_once(spark):
         edges = spark.createDataFrame(rows, "src bigint, dst bigint").coalesce(1).mapInArrow(count, "src bigint, dst bigint")
         assert job(edges).vertices.count() == 5
         assert seen.value == len(rows)
+
+
+def test_layouts_follow_the_edges(spark, monkeypatch):
+    """Kept edges lie in as many tasks as their rows need; components are the same, hubs and NULL ends included."""
+    pairs = [(k, k + 1) for k in range(20)] + [(50, 50 + k) for k in range(1, 9)] + [(None, 3), (7, None)]
+    edges = spark.createDataFrame(pairs, "src long, dst long")
+    want = {k: 0 for k in range(21)} | {50 + k: 50 for k in range(9)} | {None: None}
+    for task_rows in (2_000_000, 5):
+        monkeypatch.setattr(session, "TASK_ROWS", task_rows)
+        kept = graph.kept_by(session.materialise(edges, "edges"), "src")
+        assert task_rows > 5 or kept.rdd.getNumPartitions() == len(pairs) // 5
+        kept.unpersist()
+        got = messages.connected_components(edges, block=3).vertices.collect()
+        assert len(got) == len(want) and {r.id: r.component for r in got} == want
