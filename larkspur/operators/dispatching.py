@@ -13,6 +13,7 @@ after few rounds. Where they do not, every piece depends on all before it and re
 piece would take as many rounds as pieces. So as soon as a round does not halve the pieces that
 are wrong, or after REPAIRS rounds, the rest of each block, from its first wrong piece on, runs in
 one sorted pass that keeps the state of the block as it goes. Rounds write only what they ran.
+Where blocks alone keep the cores busy, all blocks run in that pass from the start, without a guess.
 """
 
 from __future__ import annotations
@@ -33,6 +34,11 @@ from larkspur.session import discard, materialise, ship_package
 TARGET_ROWS = 200_000
 #: Rounds of repairs before the rest of a block runs in one pass.
 REPAIRS = 3
+#: Blocks run whole at once where the largest is at most so many times a core's share of the rows: a guess and
+#: its repairs go over all rows several times.
+EVEN = 2
+#: Tasks for each core where a block is one task's work, so that blocks seldom share one.
+TASKS_PER_CORE = 16
 KEY = ["block_id", PIECE]
 RESULT = (
     "block_id int, _piece bigint, seq bigint, ts bigint, client_id bigint, drivers bigint, "
@@ -41,11 +47,12 @@ RESULT = (
 _COLUMNS = [name.split()[0] for name in RESULT.split(", ")]
 
 
-def _inputs(pieces: DataFrame) -> DataFrame:
-    """Snapshot rows (phase 0) and events (phase 2) of every piece, one party id per row."""
-    shared = ["block_id", PIECE, SPLIT]
-    events = pieces.select(
-        *shared,
+def _events(pieces: DataFrame) -> DataFrame:
+    """Events of every piece as input rows (phase 2), one party id per row."""
+    return pieces.select(
+        "block_id",
+        PIECE,
+        SPLIT,
         F.lit(2).alias("phase"),
         "action",
         F.coalesce("driver_id", "client_id").alias("party"),
@@ -57,6 +64,11 @@ def _inputs(pieces: DataFrame) -> DataFrame:
         "rating",
         "salary",
     )
+
+
+def _inputs(pieces: DataFrame) -> DataFrame:
+    """Snapshot rows (phase 0) and events (phase 2) of every piece, one party id per row."""
+    shared = ["block_id", PIECE, SPLIT]
     starts = _snapshots(pieces).withColumn(SPLIT, F.lit(True)).withColumn("phase", F.lit(0))
     standing = starts.filter("standing.available").select(
         *shared, "phase", F.lit("put").alias("action"), F.col("driver_id").alias("party"),
@@ -67,7 +79,14 @@ def _inputs(pieces: DataFrame) -> DataFrame:
         *shared, "phase", F.lit("move").alias("action"), F.col("driver_id").alias("party"),
         "moved.at.ts", "moved.at.seq", "moved.latitude", "moved.longitude",
     )
-    return events.unionByName(standing).unionByName(moved, allowMissingColumns=True)
+    return _events(pieces).unionByName(standing).unionByName(moved, allowMissingColumns=True)
+
+
+def _even(pieces: DataFrame) -> bool:
+    """Whether whole blocks, one task each, would take about as long as all rows on all cores."""
+    rows = pieces.groupBy("block_id").agg(F.count(F.lit(1)).alias("_n"))
+    largest, total = rows.agg(F.max("_n"), F.sum("_n")).first()
+    return bool(total) and largest * pieces.sparkSession.sparkContext.defaultParallelism <= EVEN * total
 
 
 def _run(
@@ -115,9 +134,10 @@ def _run(
             yield _frame(out)
         yield _frame(leftovers())
 
+    cores = inputs.sparkSession.sparkContext.defaultParallelism
+    dealt = inputs.repartition(TASKS_PER_CORE * cores, *together) if chained else inputs.repartition(*together)
     return (
-        inputs.repartition(*together)
-        .sortWithinPartitions(*KEY, "phase", "ts", "seq")
+        dealt.sortWithinPartitions(*KEY, "phase", "ts", "seq")
         .mapInPandas(replay, RESULT)
     )
 
@@ -138,6 +158,10 @@ def dispatch(
     """Every request with the drivers present before it and its match, if any."""
     ship_package(trace.sparkSession)
     pieces = _pieces(trace, target_rows, slot_width, PIECE_PER_DRIVER)
+    if consume and _even(pieces):
+        ran = materialise(_run(_events(pieces), consume, location_wins, chained=True), "round")
+        discard(pieces)
+        return ran.drop("taken")
     inputs = materialise(_inputs(pieces), "inputs")
     following = materialise(
         pieces.filter(SPLIT)

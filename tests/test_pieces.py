@@ -106,3 +106,24 @@ def test_drivers_that_never_return_take_a_few_rounds(spark, monkeypatch):
     assert {r.seq: r.driver_id for r in rows} == {r["seq"]: r["driver_id"] for r in expected if r["driver_id"]}
     assert len(ran) <= dispatching.REPAIRS + 2 and ran[-1] == {"chained": True}
     assert rides._pieces(frame(spark, events), 30, 1, 2).select(PIECE).distinct().count() >= 20
+
+
+def test_even_blocks_run_whole_without_a_guess(spark, monkeypatch):
+    """Many blocks of like size, a NULL one among them, go over their rows once; the matches are the sequential ones."""
+    rng = random.Random(4)
+    events = make_events(seed=31, n=600)
+    for e in events:
+        e["block_id"] = rng.choice([None, *range(1, 16)])
+        if rng.random() < 0.1:
+            e["ts"] = None
+    trace = frame(spark, events).cache()
+    ran = []
+    run = dispatching._run
+    monkeypatch.setattr(dispatching, "_run", lambda *a, **k: ran.append(k) or run(*a, **k))
+    for operator in (dispatching.match_consume, dispatching.match_surge):
+        ran.clear()
+        monkeypatch.setattr(dispatching, "EVEN", 2)
+        whole = rows_of(operator(trace, False, 7, 1))
+        assert whole and ran == [{"chained": True}]
+        monkeypatch.setattr(dispatching, "EVEN", 0)
+        assert rows_of(operator(trace, False, 7, 1)) == whole and len(ran) > 2
