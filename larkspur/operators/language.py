@@ -31,6 +31,8 @@ MIN_COUNT = 3
 BLOCK_WORDS = 1 << 19
 #: Hashes that meet in a task, about.
 RANGE_KEYS = 1 << 22
+#: Bits by which parts of grams as text are finer than ranges of hashes.
+FINER = 2
 
 
 def word_arrays(text: DataFrame, column: str = "text") -> DataFrame:
@@ -55,8 +57,8 @@ def ngram_count(
 
     Most grams are rare, so their text is not shuffled. Texts are written once, in blocks; a block
     sends hashes of its grams, cut into ranges, and is told which may be frequent. Only those become
-    text and are counted, so hashes spare work and never change a count. What fits one block, and
-    single words, are counted directly. ``observation`` receives ``emitted``, the number of
+    text and are counted, so hashes spare work and never change a count. A task adds up the counts of its blocks and sends
+    them in compressed parts. What fits one block, and single words, are counted directly. ``observation`` receives ``emitted``, the number of
     grams counted.
     """
     words = word_arrays(text)
@@ -73,13 +75,11 @@ def ngram_count(
     if total <= block_words:
         return _counted_directly(word_arrays(text), nmax, min_count)
     bits = max(0, math.ceil(math.log2(total * (nmax - 1) / range_keys)))
-    return (
-        _frequent_grams(blocks, nmax, min_count, bits)
-        .groupBy("gram")
-        .agg(F.sum("cnt").alias("cnt"))
-        .filter(F.col("cnt") >= min_count)
-        .select("gram", F.size(F.split("gram", " ")).alias("n"), "cnt")
+    shares = _frequent_grams(blocks, nmax, min_count, bits).mapInArrow(
+        lambda batches: grams.shares(batches, bits + FINER), "part int, grams binary, counts binary"
     )
+    counted = shares.groupBy("part").applyInArrow(lambda rows: grams.of_shares(rows, min_count), "gram string, cnt long")
+    return counted.select("gram", F.size(F.split("gram", " ")).alias("n"), "cnt")
 
 
 def _frequent_grams(blocks: DataFrame, nmax: int, min_count: int, bits: int) -> DataFrame:
@@ -117,8 +117,7 @@ def _frequent_grams(blocks: DataFrame, nmax: int, min_count: int, bits: int) ->
 
 
 def _block(rows: pa.RecordBatch | pa.Table, n: int) -> grams.Block:
-    words = rows.column("vocabulary")[n].values
-    return grams.Block(words, rows.column("codes")[n].as_py(), rows.column("lengths")[n].as_py())
+    return grams.block_of(*(rows.column(c)[n].as_py() for c in ("vocabulary", "codes", "lengths")))
 
 
 def _counted_directly(words: DataFrame, nmax: int, min_count: int) -> DataFrame:
